@@ -47,9 +47,9 @@ def names_per_item(
     ``key`` must rise with the name, as the model's keys do. An item with more than ``limit`` names goes
     on over further pages.
     """
-    named = skew_join(bridge.select(item, key), dim.select(key, name), [key], spread=[item])
-    pages = paged(named, [item], [key], limit)
-    lists = pages.groupBy(item, "page").agg(sorted_list(key, F.col(name)).alias("_names"))
+    pages = paged(bridge.select(item, key), [item], [key], limit)
+    named = skew_join(pages, dim.select(key, name), [key], spread=[item])
+    lists = named.groupBy(item, "page").agg(sorted_list(key, F.col(name)).alias("_names"))
     return (
         items.select(item)
         .join(lists, item, "left")

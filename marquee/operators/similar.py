@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import drop_stop_words, fold_tags
 from ..functions.words import ENGLISH_STOP_WORDS
-from .skew import skew_join
+from ..session import materialise
+from .numbering import first_rows
+from .skew import hot_counts, skew_join
 
 TOKEN = r"(?U)\b\w\w+\b"
 WEIGHT = "decimal(16,7)"
@@ -30,9 +32,21 @@ def with_tag_key(items: DataFrame, tags: str = "tags", **options) -> DataFrame:
     return items.withColumn("tag_key", F.coalesce(F.array_join(tag_tokens(F.col(tags), **options), " "), F.lit("")))
 
 
-def _set_tokens(keyed: DataFrame) -> DataFrame:
-    """(tag_key, members, token, tf), one row per distinct token of each distinct tag set."""
-    sets = keyed.groupBy("tag_key").agg(F.count("*").alias("members"))
+def tag_sets(keyed: DataFrame) -> DataFrame:
+    """(tag_key, members): the distinct tag sets, the empty one included, and how many items have each.
+
+    Everything else is worked out from these, so they are materialised and the items read once for them.
+    """
+    return materialise(keyed.groupBy("tag_key").agg(F.count("*").alias("members")))
+
+
+def _to_items(keyed: DataFrame, sets: DataFrame, per_set: DataFrame, item: str) -> DataFrame:
+    """Items with the columns of their tag set; a set that very many items share is spread out."""
+    return skew_join(keyed, per_set, ["tag_key"], spread=[item], hot=hot_counts(sets, ["tag_key"], "members"))
+
+
+def _set_tokens(sets: DataFrame) -> DataFrame:
+    """(tag_key, members, token, tf), one row per distinct token of each tag set."""
     tokens = F.split("tag_key", " ")
     counted = F.transform(
         F.array_distinct(tokens),
@@ -43,19 +57,21 @@ def _set_tokens(keyed: DataFrame) -> DataFrame:
     return sets.where(F.col("tag_key") != "").select("tag_key", "members", F.inline(counted))
 
 
-def idf(keyed: DataFrame) -> DataFrame:
+def idf(sets: DataFrame) -> DataFrame:
     """(token, df, idf): items holding the token and ln((1 + n) / (1 + df)) + 1 over all n items."""
-    total = keyed.agg(F.count("*")).scalar()
-    counts = _set_tokens(keyed).groupBy("token").agg(F.sum("members").alias("df"))
+    total = sets.agg(F.sum("members")).scalar()
+    counts = _set_tokens(sets).groupBy("token").agg(F.sum("members").alias("df"))
     return counts.withColumn("idf", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1).cast(WEIGHT))
 
 
-def set_weights(keyed: DataFrame) -> DataFrame:
-    """(tag_key, token, tf, weight) with weight = tf * idf, not yet normalised."""
-    tokens = _set_tokens(keyed).select("tag_key", "token", "tf")
-    return skew_join(tokens, idf(keyed).select("token", "idf"), ["token"], spread=["tag_key"]).select(
-        "tag_key", "token", "tf", (F.col("tf") * F.col("idf")).cast(WEIGHT).alias("weight")
-    )
+def set_weights(sets: DataFrame) -> DataFrame:
+    """(tag_key, token, tf, weight) with weight = tf * idf, not yet normalised.
+
+    The join is left to the optimiser: the vocabulary is broadcast when it measures small, and a token
+    of very many sets is split as a skewed partition when it does not.
+    """
+    joined = _set_tokens(sets).select("tag_key", "token", "tf").join(idf(sets).select("token", "idf"), "token")
+    return joined.select("tag_key", "token", "tf", (F.col("tf") * F.col("idf")).cast(WEIGHT).alias("weight"))
 
 
 def _square(weight: str = "weight") -> Column:
@@ -65,20 +81,20 @@ def _square(weight: str = "weight") -> Column:
 def tfidf(items: DataFrame, item: str, tags: str = "tags") -> DataFrame:
     """(item, token, weight): each item's weights, scaled to length 1."""
     keyed = with_tag_key(items, tags).select(item, "tag_key")
-    vectors = set_vectors(keyed)
-    rows = skew_join(keyed, vectors.select("tag_key", "entries", "square"), ["tag_key"], spread=[item])
+    sets = tag_sets(keyed)
+    rows = _to_items(keyed, sets, set_vectors(sets), item)
     return rows.select(item, "square", F.inline("entries")).select(
         item, "token", (F.col("weight").cast("double") / F.sqrt(F.col("square").cast("double"))).alias("weight")
     )
 
 
-def set_vectors(keyed: DataFrame) -> DataFrame:
+def set_vectors(sets: DataFrame) -> DataFrame:
     """(tag_key, entries, square): the set's (token, tf, weight) entries and its squared length.
 
     A group here is one tag set, as large as its own ``tag_key``.
     """
     entry = F.struct("token", "tf", "weight")
-    return set_weights(keyed).groupBy("tag_key").agg(
+    return set_weights(sets).groupBy("tag_key").agg(
         F.array_sort(F.collect_list(entry)).alias("entries"), _square().alias("square")
     )
 
@@ -93,56 +109,50 @@ def _first_members(keyed: DataFrame, item: str, count: int) -> DataFrame:
     return keyed.where(F.col("tag_key") != "").withColumn("_place", place).where(F.col("_place") <= count).drop("_place")
 
 
-def _target_scores(keyed: DataFrame, item: str, target: DataFrame) -> DataFrame:
+def _target_scores(sets: DataFrame, target: DataFrame) -> DataFrame:
     """(tag_key, score) of every tag set that shares a token with ``target``, a frame of at most one item."""
-    weights = set_weights(keyed)
-    wanted = weights.join(F.broadcast(target.select("tag_key").limit(1)), "tag_key", "left_semi")
-    wanted = wanted.select("token", F.col("weight").alias("target_weight"))
-    target_square = wanted.agg(F.sum(F.col("target_weight") * F.col("target_weight")).cast(PRODUCT)).scalar()
-    pairs = weights.join(F.broadcast(wanted), "token", "left")
+    vectors = set_vectors(sets)
+    wanted = vectors.join(F.broadcast(target.select("tag_key").limit(1)), "tag_key", "left_semi")
+    wanted = wanted.select(F.inline("entries"), F.col("square").alias("target_square"))
+    wanted = wanted.select("token", F.col("weight").alias("target_weight"), "target_square")
+    # One row per token of one item is broadcast.
+    shared = vectors.select("tag_key", "square", F.inline("entries")).join(F.broadcast(wanted), "token")
     dot = F.sum(F.col("weight") * F.col("target_weight")).cast(PRODUCT)
-    sums = pairs.groupBy("tag_key").agg(dot.alias("dot"), _square().alias("square")).where(F.col("dot").isNotNull())
-    return sums.select("tag_key", _cosine(F.col("dot"), F.col("square"), target_square).alias("score"))
+    sums = shared.groupBy("tag_key", "square", "target_square").agg(dot.alias("dot"))
+    return sums.select("tag_key", _cosine(F.col("dot"), F.col("square"), F.col("target_square")).alias("score"))
 
 
-def _target(keyed: DataFrame, item: str, title: str, name: str) -> DataFrame:
-    return keyed.where(F.col(title) == name).orderBy(item).limit(1)
+def _first(keyed: DataFrame, item: str, target: Column) -> DataFrame:
+    return keyed.where(target).orderBy(item).limit(1).select(item, "tag_key")
 
 
-def cosine_to(items: DataFrame, item: str, title: str, name: str, tags: str = "tags") -> DataFrame:
-    """(item, other, score) of the first item called ``name`` against every other that shares a token.
+def cosine_to(items: DataFrame, item: str, target: Column, tags: str = "tags") -> DataFrame:
+    """(item, other, score) of the first item that meets ``target`` against every other that shares a token.
 
     One pass over the items: the target's few tokens are the only broadcast.
     """
-    keyed = with_tag_key(items, tags).select(item, title, "tag_key")
-    target = _target(keyed, item, title, name)
-    scores = _target_scores(keyed, item, target)
-    own = target.select(item).scalar()
-    others = skew_join(keyed.select(F.col(item).alias("other"), "tag_key"), scores, ["tag_key"], spread=["other"])
+    keyed = with_tag_key(items, tags)
+    first = _first(keyed, item, target)
+    sets = tag_sets(keyed)
+    own = first.select(item).scalar()
+    others = _to_items(keyed.select(F.col(item).alias("other"), "tag_key"), sets, _target_scores(sets, first), "other")
     return others.where(F.col("other") != own).select(own.alias(item), "other", "score")
 
 
 def similar_to(
-    items: DataFrame,
-    item: str,
-    title: str,
-    name: str,
-    tags: str = "tags",
-    count: int = 10,
-    dedupe_titles: bool = False,
+    items: DataFrame, item: str, target: Column, tags: str = "tags", count: int = 10, exclude: Column | None = None
 ) -> DataFrame:
-    """(other, score), the ``count`` items most like the first one called ``name``; ties go to the lower id.
+    """(other, score, rk), the ``count`` items most like the first one that meets ``target``; ties go to the lower id.
 
-    ``dedupe_titles`` leaves out every item with the target's title, not only the target.
+    Only the target itself is left out, unless ``exclude`` says which items are (all of one title, say).
     """
-    keyed = with_tag_key(items, tags).select(item, title, "tag_key")
-    target = _target(keyed, item, title, name)
-    scores = _target_scores(keyed, item, target)
-    own = target.select(item).scalar()
-    candidates = keyed.where(F.col(title) != name) if dedupe_titles else keyed.where(F.col(item) != own)
+    keyed = with_tag_key(items, tags)
+    first = _first(keyed, item, target)
+    scores = _target_scores(tag_sets(keyed), first)
+    candidates = keyed.where(~exclude) if exclude is not None else keyed.where(F.col(item) != first.select(item).scalar())
     members = _first_members(candidates.select(item, "tag_key"), item, count)
-    best = members.join(scores, "tag_key").orderBy(F.desc("score"), item).limit(count)
-    return best.select(F.col(item).alias("other"), "score")
+    best = members.join(scores, "tag_key").select(F.col(item).alias("other"), "score")
+    return first_rows(best, count, [F.desc("score"), "other"], "rk")
 
 
 def _subsets(entries: Column) -> Column:
@@ -166,7 +176,8 @@ def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10
     distinct tokens raises an error (use :func:`similar_to`, which takes any number).
     """
     keyed = with_tag_key(items, tags).select(item, "tag_key")
-    vectors = set_vectors(keyed)
+    sets = tag_sets(keyed)
+    vectors = materialise(set_vectors(sets))
     too_many = F.raise_error(F.concat(F.lit(f"more than {max_tags} tag tokens: "), F.col("tag_key")))
     vectors = vectors.withColumn("entries", F.when(F.size("entries") <= max_tags, F.col("entries")).otherwise(too_many))
     subsets = vectors.select("tag_key", "square", "entries", F.explode(_subsets(F.col("entries"))).alias("subset"))
@@ -206,7 +217,7 @@ def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10
     kept = scored.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= count + 1)
     lists = kept.groupBy("tag_key").agg(F.array_sort(F.collect_list(F.struct("_place", "other", "score"))).alias("best"))
 
-    rows = skew_join(keyed, lists, ["tag_key"], spread=[item])
+    rows = _to_items(keyed, sets, lists, item)
     others = F.slice(F.filter("best", lambda entry: entry["other"] != F.col(item)), 1, count)
     return rows.select(item, F.posexplode(others).alias("_at", "_best")).select(
         item, F.col("_best.other").alias("other"), F.col("_best.score").alias("score"), (F.col("_at") + 1).alias("rk")

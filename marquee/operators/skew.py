@@ -9,14 +9,18 @@ HOT_SHARE = 256  # a key is hot when it holds more than 1/256 of the rows, so th
 SALTS = 64
 
 
+def hot_counts(counts: DataFrame, on: list[str], n: str, share: int = HOT_SHARE) -> DataFrame:
+    """Keys whose count ``n`` is more than ``1/share`` of the total: always fewer than ``share`` rows."""
+    total = counts.agg(F.sum(n)).scalar()
+    return counts.where(F.col(n) * share > total).select(*on)
+
+
 def hot_keys(df: DataFrame, on: list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``1/share`` of the rows of ``df``: always fewer than ``share`` rows.
+    """Keys that hold more than ``1/share`` of the rows of ``df``.
 
     The counts are combined before the shuffle, so a hot key costs one partial row per task.
     """
-    total = df.agg(F.count("*")).scalar()
-    counts = df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias("_n"))
-    return counts.where(F.col("_n") * share > total).select(*on)
+    return hot_counts(df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias("_n")), on, "_n", share)
 
 
 def skew_join(
@@ -25,6 +29,7 @@ def skew_join(
     on: list[str],
     spread: list[str | Column],
     how: str = "inner",
+    hot: DataFrame | None = None,
     share: int = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -33,9 +38,10 @@ def skew_join(
     ``spread`` names columns of ``big`` that differ between rows of one key; their hash picks the salt,
     so a retried task sends each row to the same place. Only the rows of ``small`` under a hot key are
     repeated. Rows with a NULL key match nothing and are spread as well. The broadcast holds the hot keys alone, fewer than ``share`` rows whatever the data.
-    ``how`` may be inner, left, left_semi or left_anti.
+    ``how`` may be inner, left, left_semi or left_anti. ``hot`` saves the counting pass when the hot keys
+    are known; it must come from :func:`hot_counts`.
     """
-    hot = F.broadcast(hot_keys(big, on, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast((hot_keys(big, on, share) if hot is None else hot).withColumn("_hot", F.lit(True)))
     unmatched = F.lit(False)
     for key in on:
         unmatched = unmatched | F.col(key).isNull()

@@ -8,19 +8,25 @@ from pyspark.sql import functions as F
 from ..functions.links import link_host
 from ..functions.sentiment import label
 from ..operators.lists import PAGE, paged
-from ..operators.similar import MAX_TAGS, similar_top
+from ..operators.similar import MAX_TAGS, similar_to, similar_top
 from .search import name_lists, with_names
 
 SIMILAR_SHOWN = 5
 
 
-def review_entries(model: dict[str, DataFrame]) -> DataFrame:
-    """(movie_id, kind, id, review, reviewer, score, polarity, label) of every review that is shown.
+def review_links(model: dict[str, DataFrame]) -> DataFrame:
+    """(movie_id, kind, id) of every review."""
+    critics = model["critique"].select("movie_id", F.lit("critic").alias("kind"), F.col("critic_id").alias("id"))
+    users = model["reviews"].select("movie_id", F.lit("user").alias("kind"), F.col("review_id").alias("id"))
+    return critics.unionByName(users)
+
+
+def review_entries(model: dict[str, DataFrame], links: DataFrame | None = None) -> DataFrame:
+    """Links with (review, reviewer, score, polarity, label) of every review that is shown.
 
     A user review without polarity is not shown; a critic review without one has no label.
     """
-    critics = model["critique"].join(model["critic_reviews"], "critic_id").select(
-        "movie_id",
+    critics = model["critic_reviews"].select(
         F.lit("critic").alias("kind"),
         F.col("critic_id").alias("id"),
         F.col("c_review").alias("review"),
@@ -28,8 +34,7 @@ def review_entries(model: dict[str, DataFrame]) -> DataFrame:
         F.col("c_score").alias("score"),
         "polarity",
     )
-    users = model["reviews"].join(model["user_reviews"], "review_id").where(F.col("polarity").isNotNull()).select(
-        "movie_id",
+    users = model["user_reviews"].where(F.col("polarity").isNotNull()).select(
         F.lit("user").alias("kind"),
         F.col("review_id").alias("id"),
         F.col("u_review").alias("review"),
@@ -37,18 +42,23 @@ def review_entries(model: dict[str, DataFrame]) -> DataFrame:
         F.col("u_score").alias("score"),
         "polarity",
     )
-    return critics.unionByName(users).withColumn("label", label(F.col("polarity")))
+    bodies = critics.unionByName(users).withColumn("label", label(F.col("polarity")))
+    return (review_links(model) if links is None else links).join(bodies, ["kind", "id"])
 
 
-def similar_titles(model: dict[str, DataFrame], count: int = SIMILAR_SHOWN) -> DataFrame:
-    """(movie_id, similar): up to ``count`` most similar movies by genre, best first."""
+def similar_titles(model: dict[str, DataFrame], count: int = SIMILAR_SHOWN, movie_id: int | None = None) -> DataFrame:
+    """(movie_id, similar): up to ``count`` most similar movies by genre, best first, per movie or for one."""
     tagged = model["movie_genre"].join(model["genres"], "genre_id")
     # One tag more than similar_top takes is enough for it to refuse the movie; no longer list is built.
     place = F.row_number().over(Window.partitionBy("movie_id").orderBy("genre_id"))
     tagged = tagged.withColumn("place", place).where(F.col("place") <= MAX_TAGS + 1)
     tags = tagged.groupBy("movie_id").agg(F.collect_list("genre_type").alias("tags"))
     items = model["movies"].select("movie_id").join(tags, "movie_id", "left")
-    best = similar_top(items, "movie_id", "tags", count)
+    if movie_id is None:
+        best = similar_top(items, "movie_id", count=count)
+    else:
+        best = similar_to(items, "movie_id", F.col("movie_id") == movie_id, count=count)
+        best = best.withColumn("movie_id", F.lit(movie_id).cast("long"))
     named = best.join(model["movies"].select(F.col("movie_id").alias("other"), "title", "image"), "other")
     entry = F.struct("rk", F.col("other").alias("movie_id"), "title", "image")
     return named.groupBy("movie_id").agg(F.array_sort(F.collect_list(entry)).alias("similar"))
@@ -63,23 +73,24 @@ def detail(
     are paged: a movie with more than ``limit`` names, links or reviews of a kind goes on in further
     documents (``page`` 1, 2, ...), so no document or task holds an unbounded list.
     """
-    movies = model["movies"] if movie_id is None else model["movies"].where(F.col("movie_id") == movie_id)
-    shown = movies.select("movie_id")
 
-    links = model["stream_links"].join(shown, "movie_id", "left_semi")
-    links = paged(links, ["movie_id"], ["url"], limit).groupBy("movie_id", "page").agg(
+    def shown(rows: DataFrame) -> DataFrame:
+        return rows if movie_id is None else rows.where(F.col("movie_id") == movie_id)
+
+    movies = shown(model["movies"])
+    links = paged(shown(model["stream_links"]), ["movie_id"], ["url"], limit).groupBy("movie_id", "page").agg(
         F.array_sort(F.collect_list(F.struct("url", link_host(F.col("url")).alias("host")))).alias("links")
     )
-    reviews = review_entries(model).join(shown, "movie_id", "left_semi")
     entry = F.struct("id", "review", "reviewer", "score", "polarity", "label")
-    reviews = paged(reviews, ["movie_id", "kind"], ["id"], limit).groupBy("movie_id", "page").agg(
+    reviews = review_entries(model, paged(shown(review_links(model)), ["movie_id", "kind"], ["id"], limit))
+    reviews = reviews.groupBy("movie_id", "page").agg(
         *[
             F.array_sort(F.collect_list(F.when(F.col("kind") == kind, entry))).alias(f"{kind}_reviews")
             for kind in ("critic", "user")
         ]
     )
-    pages = name_lists(model, movies, limit)
+    pages = name_lists(model, None if movie_id is None else movies, limit)
     for part in (links, reviews):
         pages = pages.join(part, ["movie_id", "page"], "full")
     documents = with_names(movies, pages)
-    return documents.join(similar_titles(model, count), "movie_id", "left")
+    return documents.join(similar_titles(model, count, movie_id), "movie_id", "left")

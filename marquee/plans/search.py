@@ -56,17 +56,21 @@ def found_movies(model: dict[str, DataFrame], field: str, keyword: str) -> DataF
     return movies.where(contains(F.col("distributor" if field == "distributor" else "title"), keyword))
 
 
-def name_lists(model: dict[str, DataFrame], movies: DataFrame, limit: int = PAGE) -> DataFrame:
-    """(movie_id, page, directors, actors, genres) of the given movies, in one grouping for all three lists."""
-    entries = None
+def name_lists(model: dict[str, DataFrame], movies: DataFrame | None = None, limit: int = PAGE) -> DataFrame:
+    """(movie_id, page, directors, actors, genres) of the given movies, or of all.
+
+    The three bridges are paged and grouped as one. They meet the names on (list, key): the names are
+    broadcast when they measure small, and a name of very many movies is split as a skewed partition.
+    """
+    entries = names = None
     for field, dim, bridge, key, name in LISTS:
-        mine = model[bridge].join(movies.select("movie_id"), "movie_id", "left_semi")
-        named = mine.join(model[dim], key).select(
-            "movie_id", F.lit(field).alias("list"), F.col(key).alias("key"), F.col(name).alias("name")
-        )
-        entries = named if entries is None else entries.unionByName(named)
-    pages = paged(entries, ["movie_id", "list"], ["key"], limit)
-    return pages.groupBy("movie_id", "page").agg(
+        mine = model[bridge] if movies is None else model[bridge].join(movies.select("movie_id"), "movie_id", "left_semi")
+        mine = mine.select("movie_id", F.lit(field).alias("list"), F.col(key).alias("key"))
+        entries = mine if entries is None else entries.unionByName(mine)
+        known = model[dim].select(F.lit(field).alias("list"), F.col(key).alias("key"), F.col(name).alias("name"))
+        names = known if names is None else names.unionByName(known)
+    named = paged(entries, ["movie_id", "list"], ["key"], limit).join(names, ["list", "key"])
+    return named.groupBy("movie_id", "page").agg(
         *[sorted_list("key", F.when(F.col("list") == field, F.col("name"))).alias(f"{field}s") for field, *_ in LISTS]
     )
 

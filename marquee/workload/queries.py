@@ -442,7 +442,7 @@ def _tagged(t: Given) -> DataFrame:
 
 @query
 def idf(t: Given) -> DataFrame:
-    weights = similar.idf(similar.with_tag_key(_tagged(t)).select("item", "tag_key"))
+    weights = similar.idf(similar.tag_sets(similar.with_tag_key(_tagged(t))))
     return weights.select("token", "df", F.round(F.col("idf").cast("double"), 6).alias("idf"))
 
 
@@ -453,12 +453,13 @@ def tfidf(t: Given) -> DataFrame:
 
 @query
 def cosine(t: Given) -> DataFrame:
-    return similar.cosine_to(_tagged(t), "item", "title", SIMILAR_TITLE).withColumn("score", F.round("score", 6))
+    return similar.cosine_to(_tagged(t), "item", F.col("title") == SIMILAR_TITLE).withColumn("score", F.round("score", 6))
 
 
 @query
 def similar_title(t: Given) -> DataFrame:
-    rows = similar.similar_to(_tagged(t), "item", "title", SIMILAR_TITLE, dedupe_titles=True)
+    same = F.col("title") == SIMILAR_TITLE
+    rows = similar.similar_to(_tagged(t), "item", same, exclude=same)
     return rows.withColumn("score", F.round("score", 6))
 
 

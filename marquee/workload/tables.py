@@ -11,6 +11,7 @@ from ..functions import values as V
 from ..functions.sentiment import polarity
 from ..operators.pages import CRITIC, USER
 from ..plans.model import dimension
+from ..session import materialise
 
 
 class Given:
@@ -118,7 +119,8 @@ class GivenModel(dict):
     def __missing__(self, table: str) -> DataFrame:
         if table in ("genres", "movie_genre"):
             lists = self.given.part.select(F.col("p_partkey").alias("movie_id"), tags_of(F.col("p_name")).alias("values"))
-            self["genres"], self["movie_genre"] = dimension(lists, "movie_id", "values", "genre_id", "genre_type")
+            self["genres"], links = dimension(lists, "movie_id", "values", "genre_id", "genre_type")
+            self["movie_genre"] = materialise(links)
         else:
             self[table] = BUILDERS[table](self.given)
         return self[table]
