@@ -11,6 +11,9 @@ from .words import ENGLISH_STOP_WORDS, TAG_SPELLINGS
 BLANKS = " \t\r\n"
 RANK_EDGES = " .\n"
 
+# What a regular expression calls whitespace.
+WHITESPACE = " \t\n\x0b\f\r"
+
 # Markup removed from an expanded review body.
 BODY_MARKUP = ("</span>", '<span class="blurb blurb_expanded">', "<br>")
 
@@ -20,24 +23,35 @@ def normalise(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"[^a-zA-Z\s]", ""))
 
 
+def _split(text: Column) -> Column:
+    return F.split(F.rtrim(text, F.lit(WHITESPACE)), r"\s")
+
+
 def tokenise(text: Column) -> Column:
     """Lower-case and split at every single whitespace character.
 
     A run of blanks inside the text leaves empty tokens; blanks at the end leave none.
     """
-    ended = F.regexp_replace(F.lower(text), r"\s+$", "")
-    only_blanks = (ended == "") & (text != "")
-    return F.when(only_blanks, F.array().cast("array<string>")).otherwise(F.split(ended, r"\s"))
 
+    def split(lowered: Column) -> Column:
+        blank = (lowered != "") & (F.rtrim(lowered, F.lit(WHITESPACE)) == "")
+        return F.when(blank, F.array().cast("array<string>")).otherwise(_split(lowered))
+
+    # The one-element array works the text out once for its three uses.
+    return F.transform(F.array(F.lower(text)), split)[0]
 
-def drop_stop_words(tokens: Column, words: tuple[str, ...] = ENGLISH_STOP_WORDS) -> Column:
-    """Keep the tokens that are not stop words, in order and whatever their case."""
-    return F.filter(tokens, lambda token: ~F.lower(token).isin(*words))
+
+def drop_stop_words(tokens: Column, words: tuple[str, ...] = ENGLISH_STOP_WORDS, lowered: bool = False) -> Column:
+    """Keep the tokens that are not stop words, in order and whatever their case.
+
+    ``lowered`` says that the tokens are in lower case already.
+    """
+    return F.filter(tokens, lambda token: ~(token if lowered else F.lower(token)).isin(*words))
 
 
 def clean(text: Column) -> Column:
     """Normalised text without stop words, tokens joined by one space; NULL stays NULL."""
-    return F.array_join(drop_stop_words(tokenise(normalise(text))), " ")
+    return F.array_join(drop_stop_words(_split(normalise(text)), lowered=True), " ")
 
 
 def tidy(text: Column, edges: str = BLANKS) -> Column:

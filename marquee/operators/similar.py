@@ -24,7 +24,7 @@ MAX_TAGS = 12
 def tag_tokens(tags: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS) -> Column:
     """Sorted lower-case tokens of an item's tags; a token of two tags counts twice."""
     words = F.regexp_extract_all(F.lower(fold_tags(F.array_join(tags, " "))), F.lit(TOKEN), F.lit(0))
-    return F.array_sort(drop_stop_words(words, stop_words))
+    return F.array_sort(drop_stop_words(words, stop_words, lowered=True))
 
 
 def with_tag_key(items: DataFrame, tags: str = "tags", **options) -> DataFrame:

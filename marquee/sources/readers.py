@@ -12,6 +12,16 @@ from ..schemas import CATALOG_EITHER, CLEANED, INFO, PAGES, REVIEWS, TABLES
 TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True}
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash the rows over the cores by a unique key when the files give fewer splits than there are cores.
+
+    For small inputs in one row group that are about to go through costly per-row expressions. A large
+    input has more splits than cores and comes back as it is, with no exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _json(spark: SparkSession, path: str, schema: T.StructType, one_array: bool) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=one_array)
 

@@ -12,10 +12,14 @@ from ..functions.sentiment import polarity
 from ..operators.pages import CRITIC, USER
 from ..plans.model import dimension
 from ..session import materialise
+from ..sources.readers import spread
 
 
+# Tables whose text goes through per-row expressions, with their unique key.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
 class Given:
-    """Reads the tables of one scale folder."""
+    """Reads the tables of one scale folder, each set up once."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
@@ -23,7 +27,10 @@ class Given:
     def __getattr__(self, table: str) -> DataFrame:
         if table.startswith("_"):
             raise AttributeError(table)
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        rows = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        rows = spread(rows, TEXT_KEYS[table]) if table in TEXT_KEYS else rows
+        setattr(self, table, rows)
+        return rows
 
 
 def tags_of(name: Column) -> Column:
