@@ -8,8 +8,17 @@ from ..schemas import TABLES
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated with a header, every value quoted and quotes doubled."""
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote='"', escape='"', quoteAll=True)
+    """Tab-separated with a header, every value quoted, quotes doubled, blanks at its ends kept."""
+    df.write.mode("overwrite").csv(
+        path,
+        sep="\t",
+        header=True,
+        quote='"',
+        escape='"',
+        quoteAll=True,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_json(df: DataFrame, path: str) -> None:
