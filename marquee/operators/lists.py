@@ -45,10 +45,10 @@ def names_per_item(
     """(item, page, names): each item's names ascending and comma-separated, ``N/A`` when it has none.
 
     ``key`` must rise with the name, as the model's keys do. An item with more than ``limit`` names goes
-    on over further pages.
+    on over further pages. The names are broadcast when they measure small; otherwise a name of very many
+    items is split as a skewed partition.
     """
-    pages = paged(bridge.select(item, key), [item], [key], limit)
-    named = skew_join(pages, dim.select(key, name), [key], spread=[item])
+    named = paged(bridge.select(item, key), [item], [key], limit).join(dim.select(key, name), key)
     lists = named.groupBy(item, "page").agg(sorted_list(key, F.col(name)).alias("_names"))
     return (
         items.select(item)

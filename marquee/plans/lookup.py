@@ -9,9 +9,6 @@ from ..operators.numbering import first_rows, number_rows
 from ..operators.stats import item_sentiment
 from .search import SEARCHED_DIMENSIONS
 
-ByName = tuple[str, str, str, str]
-
-
 def same_text(column: Column, value: str) -> Column:
     """Equality that ignores case."""
     return F.lower(column) == F.lit(value.lower())
@@ -51,7 +48,7 @@ def movies_of_name(model: dict[str, DataFrame], name: str, role: str, count: int
     """(num, title, movie_id): the movies of an actor, director or genre in title order, the first ``count`` if given."""
     dim, bridge, key, column = SEARCHED_DIMENSIONS[role]
     wanted = model[dim].where(same_text(F.col(column), name)).select(key)
-    ids = model[bridge].join(wanted, key, "left_semi").select("movie_id")
+    ids = model[bridge].join(wanted, key, "left_semi").select("movie_id").distinct()
     rows = model["movies"].join(ids, "movie_id", "left_semi").select("title", "movie_id")
     return numbered(rows, [*by_text("title"), "movie_id"], count)
 

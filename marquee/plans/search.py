@@ -45,13 +45,13 @@ def contains(column: Column, keyword: str) -> Column:
 
 
 def found_movies(model: dict[str, DataFrame], field: str, keyword: str) -> DataFrame:
-    """Rows of ``movies`` that match, each once: a semi-join, so nothing has to be made distinct."""
+    """Rows of ``movies`` that match, each once: a semi-join on the ids, combined before they are shuffled."""
     keyword = checked_keyword(keyword)
     movies = model["movies"]
     if field in SEARCHED_DIMENSIONS:
         dim, bridge, key, name = SEARCHED_DIMENSIONS[field]
         hits = model[dim].where(contains(F.col(name), keyword)).select(key)
-        ids = model[bridge].join(hits, key, "left_semi").select("movie_id")
+        ids = model[bridge].join(hits, key, "left_semi").select("movie_id").distinct()
         return movies.join(ids, "movie_id", "left_semi")
     return movies.where(contains(F.col("distributor" if field == "distributor" else "title"), keyword))
 
