@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 256  # a key is hot when it holds more than 1/256 of the rows, so there are fewer than 256
+MOST = 256  # hot keys looked for; any other key holds less than 1/256 of the rows
+FLOOR = 10_000  # a key with no more rows than this is no burden for one task
 SALTS = 64
 
 
-def hot_counts(counts: DataFrame, on: list[str], n: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys whose count ``n`` is more than ``1/share`` of the total: always fewer than ``share`` rows."""
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.where(F.col(n) * share > total).select(*on)
+def hot_counts(counts: DataFrame, on: list[str], n: str, most: int = MOST, floor: int = FLOOR) -> DataFrame:
+    """The ``most`` keys with the highest count ``n`` above ``floor``, so never more than ``most`` rows.
 
+    Every key with more than ``1/most`` of the rows is among them, since fewer than ``most`` keys can be.
+    The order is total, so both sides of a join get the same keys even when this is worked out twice.
+    """
+    return counts.where(F.col(n) > floor).orderBy(F.desc(n), *on).limit(most).select(*on)
 
-def hot_keys(df: DataFrame, on: list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``1/share`` of the rows of ``df``.
 
-    The counts are combined before the shuffle, so a hot key costs one partial row per task.
-    """
-    return hot_counts(df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias("_n")), on, "_n", share)
+def hot_keys(df: DataFrame, on: list[str], most: int = MOST, floor: int = FLOOR) -> DataFrame:
+    """Keys that hold much of ``df``; the counts are combined before the shuffle, one partial row per task and key."""
+    counts = df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias("_n"))
+    return hot_counts(counts, on, "_n", most, floor)
 
 
 def skew_join(
@@ -30,18 +32,18 @@ def skew_join(
     spread: list[str | Column],
     how: str = "inner",
     hot: DataFrame | None = None,
-    share: int = HOT_SHARE,
+    floor: int = FLOOR,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join that spreads the rows of each hot key of ``big`` over ``salts`` partitions.
 
     ``spread`` names columns of ``big`` that differ between rows of one key; their hash picks the salt,
     so a retried task sends each row to the same place. Only the rows of ``small`` under a hot key are
-    repeated. Rows with a NULL key match nothing and are spread as well. The broadcast holds the hot keys alone, fewer than ``share`` rows whatever the data.
-    ``how`` may be inner, left, left_semi or left_anti. ``hot`` saves the counting pass when the hot keys
-    are known; it must come from :func:`hot_counts`.
+    repeated. Rows with a NULL key match nothing and are spread as well. The broadcast holds the hot keys
+    alone, at most 256 rows whatever the data. ``how`` may be inner, left, left_semi or left_anti. ``hot``
+    saves the counting pass when the hot keys are known; it must come from :func:`hot_counts`.
     """
-    hot = F.broadcast((hot_keys(big, on, share) if hot is None else hot).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast((hot_keys(big, on, floor=floor) if hot is None else hot).withColumn("_hot", F.lit(True)))
     unmatched = F.lit(False)
     for key in on:
         unmatched = unmatched | F.col(key).isNull()

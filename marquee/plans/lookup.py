@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.numbering import first_rows, number_rows
+from ..operators.numbering import first_rows, number_in_order, number_rows
 from ..operators.stats import item_sentiment
 from .search import SEARCHED_DIMENSIONS
 
@@ -96,6 +96,20 @@ def id_of_title(movies: DataFrame) -> DataFrame:
     return movies.groupBy("title").agg(F.min("movie_id").alias("movie_id"))
 
 
+def positions(movies: DataFrame) -> DataFrame:
+    """(index, movie_id, title): movies with their place in the catalogue, from 0."""
+    return number_in_order(movies.select("movie_id", "title"), "index", start=0).select("index", "movie_id", "title")
+
+
+def index_of_title(placed: DataFrame, title: str) -> DataFrame:
+    """Place of the first movie with this exact title."""
+    return placed.where(F.col("title") == title).agg(F.min("index").alias("index"))
+
+
+def title_of_index(placed: DataFrame, index: int) -> DataFrame:
+    return placed.where(F.col("index") == index).select("title")
+
+
 def title_of_id(movies: DataFrame, movie_id: int) -> DataFrame:
     return movies.where(F.col("movie_id") == movie_id).select("title")
 

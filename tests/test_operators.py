@@ -25,15 +25,17 @@ def skewed(spark):
 
 
 def test_hot_keys_are_few(spark, skewed):
-    assert rows_of(hot_keys(skewed, ["key"], share=20)) == [("hot",)]
-    assert hot_keys(skewed, ["key"]).count() < 256
+    assert rows_of(hot_keys(skewed, ["key"], floor=50)) == [("hot",)]
+    assert rows_of(hot_keys(skewed, ["key"], most=1, floor=1)) == [("hot",)]
+    assert hot_keys(skewed, ["key"], floor=0).count() <= 256
+    assert hot_keys(skewed, ["key"]).isEmpty()
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_equals_join(spark, skewed, how):
     small = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("zz", 5), (None, 6)], "key string, v int")
     expected = skewed.join(small, "key", how)
-    mine = skew_join(skewed, small, ["key"], spread=["id"], how=how, share=20, salts=8)
+    mine = skew_join(skewed, small, ["key"], spread=["id"], how=how, floor=50, salts=8)
     assert mine.columns == expected.columns
     key = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in expected.columns]
     assert rows_of(mine.select(*key)) == rows_of(expected.select(*key))
@@ -44,7 +46,7 @@ def test_skew_join_spreads_the_hot_key(spark, skewed):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = skew_join(skewed, small, ["key"], spread=["id"], share=20, salts=8)
+        joined = skew_join(skewed, small, ["key"], spread=["id"], floor=50, salts=8)
         parts = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")

@@ -268,6 +268,13 @@ def test_lookups(model):
     assert rows_of(lookup.image_of_title(model["movies"], "Blue Harbor")) == [("https://img.example.com/1.jpg",)]
 
 
+def test_places(model):
+    placed = lookup.positions(model["movies"])
+    assert rows_of(placed, "index", "movie_id") == [(at, at + 1) for at in range(5)]
+    assert rows_of(lookup.index_of_title(placed, "Blue Harbor")) == [(0,)]
+    assert rows_of(lookup.title_of_index(placed, 4)) == [("Quiet",)]
+
+
 def test_movie_sentiment(model):
     found = {row["movie_id"]: row for row in lookup.movie_sentiment(model).collect()}
     assert (found[1]["n_reviews"], found[1]["polarity_mean"]) == (2, Decimal("-0.175"))
