@@ -12,6 +12,7 @@ from ..operators.similar import MAX_TAGS, similar_to, similar_top
 from .search import name_lists, with_names
 
 SIMILAR_SHOWN = 5
+REVIEW_PAGE = 100  # reviews are long texts, so fewer of them go into one document
 
 
 def review_links(model: dict[str, DataFrame]) -> DataFrame:
@@ -65,13 +66,17 @@ def similar_titles(model: dict[str, DataFrame], count: int = SIMILAR_SHOWN, movi
 
 
 def detail(
-    model: dict[str, DataFrame], movie_id: int | None = None, count: int = SIMILAR_SHOWN, limit: int = PAGE
+    model: dict[str, DataFrame],
+    movie_id: int | None = None,
+    count: int = SIMILAR_SHOWN,
+    limit: int = PAGE,
+    review_limit: int = REVIEW_PAGE,
 ) -> DataFrame:
     """One nested document per movie, or for one movie.
 
     Attributes, comma-separated name lists, links with host, similar movies, and labelled reviews. Lists
-    are paged: a movie with more than ``limit`` names, links or reviews of a kind goes on in further
-    documents (``page`` 1, 2, ...), so no document or task holds an unbounded list.
+    are paged: a movie with more than ``limit`` names or links, or ``review_limit`` reviews of a kind, goes on
+    in further documents (``page`` 1, 2, ...), so no document or task holds an unbounded list.
     """
 
     def shown(rows: DataFrame) -> DataFrame:
@@ -82,7 +87,7 @@ def detail(
         F.array_sort(F.collect_list(F.struct("url", link_host(F.col("url")).alias("host")))).alias("links")
     )
     entry = F.struct("id", "review", "reviewer", "score", "polarity", "label")
-    reviews = review_entries(model, paged(shown(review_links(model)), ["movie_id", "kind"], ["id"], limit))
+    reviews = review_entries(model, paged(shown(review_links(model)), ["movie_id", "kind"], ["id"], review_limit))
     reviews = reviews.groupBy("movie_id", "page").agg(
         *[
             F.array_sort(F.collect_list(F.when(F.col("kind") == kind, entry))).alias(f"{kind}_reviews")

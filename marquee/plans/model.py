@@ -89,8 +89,7 @@ def build_model(records: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]:
 
     wanted = to_match(users, USER, "review_id").unionByName(to_match(critics, CRITIC, "critic_id"))
     catalog = model["movies"].select("movie_id", "title", F.col("release_date").alias("date"))
-    catalog = catalog.withColumn("position", F.col("movie_id"))
-    links = materialise(match_reviews(wanted, catalog, ["kind", "id"]))
+    links = materialise(match_reviews(wanted, number_in_order(catalog, "position"), ["kind", "id"]))
     found = links.where(F.col("movie_id").isNotNull())
     model["reviews"] = found.where(F.col("kind") == USER).select("movie_id", F.col("id").alias("review_id"))
     model["critique"] = found.where(F.col("kind") == CRITIC).select("movie_id", F.col("id").alias("critic_id"))

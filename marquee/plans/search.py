@@ -39,21 +39,24 @@ def checked_keyword(keyword: str | None) -> str:
     return keyword.lower()
 
 
-def contains(column: Column, keyword: str) -> Column:
+def contains(column: Column, keyword: str, ignore_accents: bool = False) -> Column:
     """Case-insensitive substring test; ``%`` and ``_`` stand for themselves."""
+    if ignore_accents:
+        return F.contains(F.collate(column, "UNICODE_CI_AI"), F.collate(F.lit(keyword), "UNICODE_CI_AI"))
     return F.contains(F.lower(column), F.lit(keyword.lower()))
 
 
-def found_movies(model: dict[str, DataFrame], field: str, keyword: str) -> DataFrame:
+def found_movies(model: dict[str, DataFrame], field: str, keyword: str, ignore_accents: bool = False) -> DataFrame:
     """Rows of ``movies`` that match, each once: a semi-join on the ids, combined before they are shuffled."""
     keyword = checked_keyword(keyword)
     movies = model["movies"]
     if field in SEARCHED_DIMENSIONS:
         dim, bridge, key, name = SEARCHED_DIMENSIONS[field]
-        hits = model[dim].where(contains(F.col(name), keyword)).select(key)
+        hits = model[dim].where(contains(F.col(name), keyword, ignore_accents)).select(key)
         ids = model[bridge].join(hits, key, "left_semi").select("movie_id").distinct()
         return movies.join(ids, "movie_id", "left_semi")
-    return movies.where(contains(F.col("distributor" if field == "distributor" else "title"), keyword))
+    column = F.col("distributor" if field == "distributor" else "title")
+    return movies.where(contains(column, keyword, ignore_accents))
 
 
 def name_lists(model: dict[str, DataFrame], movies: DataFrame | None = None, limit: int = PAGE) -> DataFrame:
@@ -98,9 +101,10 @@ def search(
     keyword: str = "",
     order_by: str = "release_date",
     limit: int = PAGE,
+    ignore_accents: bool = False,
 ) -> DataFrame:
     """Matching movies with number and name lists."""
-    hits = ordered(found_movies(model, field, keyword), order_by)
+    hits = ordered(found_movies(model, field, keyword, ignore_accents), order_by)
     return with_names(hits, name_lists(model, hits, limit))
 
 

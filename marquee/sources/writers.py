@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..schemas import TABLES
+from ..schemas import PRIMARY_KEYS, TABLES
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
@@ -32,6 +32,13 @@ def write_dimensions(dimensions: dict[str, DataFrame], folder: str) -> None:
 
 
 def write_tables(model: dict[str, DataFrame], folder: str) -> None:
-    """The relational model as one Parquet folder per table."""
+    """The relational model as one Parquet folder per table.
+
+    Movies and bridges are range-partitioned and sorted by their whole key, so a lookup by movie skips most row
+    groups and a movie with very many rows still lies in many files. Reviews are in key order already.
+    """
     for name in TABLES:
-        model[name].write.mode("overwrite").parquet(f"{folder}/{name}")
+        table = model[name]
+        if "movie_id" in PRIMARY_KEYS[name]:
+            table = table.repartitionByRange(*PRIMARY_KEYS[name]).sortWithinPartitions(*PRIMARY_KEYS[name])
+        table.write.mode("overwrite").parquet(f"{folder}/{name}")

@@ -122,6 +122,13 @@ def test_model_round_trip(spark, folder, model):
         assert rows_of(back[name]) == rows_of(model[name])
 
 
+def test_stored_bridges_are_read_by_key(spark, folder, model):
+    writers.write_tables(model, str(folder / "clustered"))
+    one = readers.read_tables(spark, str(folder / "clustered"))["plays_in"].where("movie_id = 1")
+    assert rows_of(one, "actor_id") == [(1,), (2,)]
+    assert "EqualTo(movie_id,1)" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_flatten(records):
     row = readers.flatten(records).where("id = 1").first()
     assert (row["title"], row["meta_score_score"], row["user_score_distri_positive"]) == ("Blue Harbor", "87", "1")
@@ -192,6 +199,11 @@ def test_search_fields(model, field, keyword, ids):
     assert sorted(row["movie_id"] for row in search.search(model, field, keyword).collect()) == ids
 
 
+def test_search_without_accents(model):
+    assert search.search(model, "actor", "elan").isEmpty()
+    assert [row["movie_id"] for row in search.search(model, "actor", "elan", ignore_accents=True).collect()] == [4]
+
+
 def test_search_rows(model):
     rows = search.search(model, "title", "blue harbor", "metacritic_score").orderBy("num").collect()
     assert [(r["num"], r["movie_id"], r["directors"], r["actors"], r["genres"]) for r in rows] == [
@@ -307,7 +319,7 @@ def test_detail_of_one_movie_equals_its_document_among_all(model):
 
 
 def test_detail_pages(model):
-    rows = {row["page"]: row for row in detail.detail(model, 1, limit=1).collect()}
+    rows = {row["page"]: row for row in detail.detail(model, 1, limit=1, review_limit=1).collect()}
     assert sorted(rows) == [0, 1]
     assert [r["reviewer"] for page in (0, 1) for r in rows[page]["user_reviews"]] == ["ann", "bo"]
     assert [link["host"] for page in (0, 1) for link in rows[page]["links"]] == ["play.example.org", "tv.example.net"]
