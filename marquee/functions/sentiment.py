@@ -26,11 +26,9 @@ class Lexicon:
     negators: tuple[str, ...] = NEGATORS
 
 
-def _weights(entries: dict[str, float], kind: str) -> Column:
-    pairs = []
-    for word, weight in entries.items():
-        pairs += [F.lit(word), F.lit(Decimal(str(weight))).cast(kind)]
-    return F.create_map(*pairs)
+def _weights(entries: dict[str, float]) -> Column:
+    """Word to weight as one constant map, which keeps the expression small to plan."""
+    return F.str_to_map(F.lit(",".join(f"{word}:{weight}" for word, weight in entries.items())), F.lit(","), F.lit(":"))
 
 
 def polarity(review: Column, lexicon: Lexicon | None = None) -> Column:
@@ -43,15 +41,15 @@ def polarity(review: Column, lexicon: Lexicon | None = None) -> Column:
     hash-set test, and the weight maps are only read for the few words that are hits.
     """
     lexicon = lexicon or Lexicon()
-    weight = _weights(lexicon.polarity, "decimal(4,2)")
-    factor = _weights(lexicon.intensity, "decimal(4,2)")
+    weight, factor = _weights(lexicon.polarity), _weights(lexicon.intensity)
 
     def hit_score(words: Column, at: Column) -> Column:
         before = F.get(words, at - 1)
         scaled = F.coalesce(before.isin(*lexicon.intensity), F.lit(False))
         negator = F.when(scaled, F.get(words, at - 2)).otherwise(before)
         turn = F.when(negator.isin(*lexicon.negators), F.lit(NEGATION)).otherwise(F.lit(Decimal("1.0")))
-        score = weight[F.get(words, at)] * F.when(scaled, factor[before]).otherwise(F.lit(1).cast("decimal(4,2)")) * turn
+        scale = F.when(scaled, factor[before]).otherwise("1").cast("decimal(4,2)")
+        score = weight[F.get(words, at)].cast("decimal(4,2)") * scale * turn
         return F.greatest(F.lit(-1), F.least(F.lit(1), score)).cast("decimal(8,5)")
 
     def mean(words: Column) -> Column:

@@ -19,8 +19,12 @@ BODY_MARKUP = ("</span>", '<span class="blurb blurb_expanded">', "<br>")
 
 
 def normalise(text: Column) -> Column:
-    """Delete all but ASCII letters and whitespace, then lower-case."""
-    return F.lower(F.regexp_replace(text, r"[^a-zA-Z\s]", ""))
+    """Delete all but ASCII letters and whitespace, then lower-case.
+
+    Joining the runs to keep is several times faster than replacing each character to drop: a negated
+    class is tested through shared type checks that slow each other down when many tasks run in one JVM.
+    """
+    return F.lower(F.array_join(F.regexp_extract_all(text, F.lit(r"[a-zA-Z\s]+"), F.lit(0)), ""))
 
 
 def _split(text: Column) -> Column:
