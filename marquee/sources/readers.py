@@ -13,10 +13,11 @@ TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": Tr
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows over the cores by a unique key when the files give fewer splits than there are cores.
+    """Hash the rows over the cores by a key when the files give fewer splits than there are cores.
 
-    For small inputs in one row group that are about to go through costly per-row expressions. A large
-    input has more splits than cores and comes back as it is, with no exchange.
+    For small inputs in one row group that are about to go through costly per-row expressions or to be
+    grouped by the key anyway. A large input has more splits than cores and comes back as it is, with no
+    exchange, so a hot key does no harm.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

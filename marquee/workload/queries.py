@@ -17,7 +17,7 @@ from ..operators import checks, lists, matching, numbering, pages, similar, stat
 from ..plans import detail, lookup, search
 from ..plans.model import build_model, model_summary, movies_table
 from ..plans.reviews import distinct_values
-from ..sources.readers import flatten, json_field
+from ..sources.readers import flatten, json_field, spread
 from . import tables as A
 from .tables import Given, GivenModel
 
@@ -232,7 +232,7 @@ def _orders_as_catalog(orders: DataFrame) -> DataFrame:
 
 
 def _lines_as_reviews(t: Given) -> DataFrame:
-    lines = t.lineitem.select("l_orderkey", "l_linenumber").distinct()
+    lines = spread(t.lineitem.select("l_orderkey", "l_linenumber"), "l_orderkey").distinct()
     orders = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("title"),

@@ -78,7 +78,8 @@ def _people(given: Given, key: str) -> DataFrame:
 
 def _cast(given: Given, key: str, rows: Column | None = None) -> DataFrame:
     lines = given.lineitem if rows is None else given.lineitem.where(rows)
-    return lines.select(F.col("l_partkey").alias("movie_id"), F.col("l_suppkey").alias(key)).distinct()
+    pairs = lines.select(F.col("l_partkey").alias("movie_id"), F.col("l_suppkey").alias(key))
+    return spread(pairs, "movie_id").distinct()
 
 
 def _reviews(given: Given, kind: str) -> DataFrame:
