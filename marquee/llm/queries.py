@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, licenses, pii, secrets
+from . import bpe, exact, licenses, mixing, pii, secrets
 from .common import settled, table
 
 
@@ -18,6 +19,10 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(docs, repository=repository, owner=F.col("source")))
 
 
+def op2_bpe(spark: SparkSession, folder: str, path: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, folder, "documents"), path))
+
+
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digests(licenses.search(table(spark, folder, "documents")))
 
@@ -31,13 +36,19 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         index.drop()
 
 
+def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.digests(mixing.mix(table(spark, folder, "documents")))
+
+
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, folder, "documents")))
 
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_bpe": op2_bpe,
     "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_source_mix": op7_source_mix,
     "op9_personal_data": op9_personal_data,
 }

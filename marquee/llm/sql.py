@@ -120,4 +120,45 @@ WITH texts AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM texts JOIN answers USING (text_sha256)
 """
 
-SQL = {"op1_secret_scan": _OP1, "op4_exact_dedup": _OP4, "op9_personal_data": _OP9}
+_OP7 = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5(coalesce(doc_id::VARCHAR, '') || ':0') AS key
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+    FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, place % 3 + 1 AS weight, sum(source_size) OVER ()::BIGINT AS total FROM sources
+), levels AS (
+    SELECT *, (total - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+           / (sum(weight) OVER ()::BIGINT - coalesce(sum(weight) OVER (ORDER BY source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT) AS level
+    FROM weighed
+), cuts AS (
+    SELECT *, 3 * source_size < level * weight AS cut FROM levels
+), shares AS (
+    SELECT *, CASE WHEN cut THEN (3 * source_size)::DOUBLE
+                   ELSE (SELECT level FROM cuts WHERE NOT cut ORDER BY source_size / weight, place LIMIT 1) * weight END AS target
+    FROM cuts
+), bounds AS (
+    SELECT *, sum(target) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING) / nullif(total, 0) AS upper FROM shares
+), tiled AS (
+    SELECT *, coalesce(lag(upper) OVER (ORDER BY place), 0) AS lower FROM bounds
+), points AS (
+    SELECT (n % 1134903170) * 701408733 % 1134903170 / 1134903170.0::DOUBLE AS point
+    FROM range((SELECT (ceil(max(total) / 256) + ceil(max(total) / 256 / 16) + 64 * count(*))::BIGINT FROM shares)) r(n)
+), dealt AS (
+    SELECT place, count(point)::BIGINT AS slots FROM tiled LEFT JOIN points ON point >= lower AND point < upper AND target > 0 GROUP BY place
+), placed AS (
+    SELECT doc_id, size, s.place, source_size, target, least(slots * 256, round(target)::BIGINT) AS stop,
+           coalesce(sum(size) OVER (PARTITION BY s.place ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first
+    FROM sized JOIN tiled s ON sized.source IS NOT DISTINCT FROM s.source JOIN dealt USING (place)
+)
+SELECT doc_id, size, source_size, target,
+       (greatest(least(first + size, stop) - first, 0)
+        + greatest(least(first + size + source_size, stop) - first - source_size, 0)
+        + greatest(least(first + size + 2 * source_size, stop) - first - 2 * source_size, 0))::BIGINT AS taken
+FROM placed
+"""
+
+SQL = {"op1_secret_scan": _OP1, "op4_exact_dedup": _OP4, "op7_source_mix": _OP7, "op9_personal_data": _OP9}
