@@ -223,11 +223,12 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, SCHEMA)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
     """Token count and hashes of the contract from :func:`encode`'s rows."""
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )

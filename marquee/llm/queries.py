@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licenses, mixing, pii, secrets
+from . import bpe, exact, licenses, lines, mixing, neardup, pii, quality, secrets
 from .common import settled, table
 
 
@@ -36,19 +36,35 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         index.drop()
 
 
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.dedup(table(spark, folder, "documents"))
+
+
 def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digests(mixing.mix(table(spark, folder, "documents")))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.digests(lines.remove(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, folder, "documents")))
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.classify(docs, quality.train(docs, quality.graded(table(spark, folder, "labels"))))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
     "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_minhash": op5_minhash,
     "op7_source_mix": op7_source_mix,
+    "op8_line_dedup": op8_line_dedup,
     "op9_personal_data": op9_personal_data,
+    "op10_quality": op10_quality,
 }

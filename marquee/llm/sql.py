@@ -161,4 +161,38 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-SQL = {"op1_secret_scan": _OP1, "op4_exact_dedup": _OP4, "op7_source_mix": _OP7, "op9_personal_data": _OP9}
+_OP8 = r"""
+WITH rows AS (
+    SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents
+), split AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM rows
+), windows AS (
+    SELECT doc_id, text, i - 1 AS place, lines[i:i + 2] AS w
+    FROM (SELECT *, unnest(generate_series(1, len(lines) - 2)) AS i FROM split WHERE len(lines) >= 3)
+    WHERE trim(array_to_string(lines[i:i + 2], ''), ' ') <> ''
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id NULLS FIRST, place) AS nth FROM windows
+), covered AS (
+    SELECT DISTINCT doc_id, text, place + k AS line FROM ordered, range(3) r(k) WHERE nth > 1
+), marked AS (
+    SELECT doc_id, text, line, line - row_number() OVER (PARTITION BY doc_id, text ORDER BY line) AS island FROM covered
+), islands AS (
+    SELECT doc_id, text, min(line) AS first, max(line) AS last, count(*) AS n, list(line) AS gone FROM marked GROUP BY doc_id, text, island
+), gone AS (
+    SELECT doc_id, text, string_agg(first || '-' || last, ',' ORDER BY first) AS removed, sum(n)::BIGINT AS n_removed, flatten(list(gone)) AS gone
+    FROM islands GROUP BY doc_id, text
+)
+SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10)))::BIGINT AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed, '') AS removed,
+       CASE WHEN gone IS NULL THEN coalesce(d.text, '') ELSE array_to_string(list_transform(list_filter(
+           list_zip(string_split(d.text, chr(10)), range(len(string_split(d.text, chr(10))))), lambda p: NOT list_contains(gone, p[2])), lambda p: p[1]), chr(10)) END AS text
+FROM documents d LEFT JOIN gone g ON d.doc_id IS NOT DISTINCT FROM g.doc_id AND coalesce(d.text, '') = g.text
+"""
+
+SQL = {
+    "op1_secret_scan": _OP1,
+    "op4_exact_dedup": _OP4,
+    "op7_source_mix": _OP7,
+    "op8_line_dedup": _OP8,
+    "op9_personal_data": _OP9,
+}
