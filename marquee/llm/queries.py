@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licenses, lines, mixing, neardup, pii, quality, secrets
+from . import bpe, exact, licenses, lines, mixing, neardup, pii, quality, secrets, vectors
 from .common import settled, table
 
 
@@ -40,6 +40,10 @@ def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.dedup(table(spark, folder, "documents"))
 
 
+def op6_projection_passes(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.dedup(table(spark, folder, "embeddings"))
+
+
 def op7_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digests(mixing.mix(table(spark, folder, "documents")))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash": op5_minhash,
+    "op6_projection_passes": op6_projection_passes,
     "op7_source_mix": op7_source_mix,
     "op8_line_dedup": op8_line_dedup,
     "op9_personal_data": op9_personal_data,
