@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,18 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Steps settled inside hand Python at most ``rows`` rows at a time: for rows with whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -35,6 +50,11 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """``docs`` as one column ``row``, with further columns whose names then clash with none of theirs."""
+    return docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), *(column.alias(name) for name, column in more.items()))
+
+
 def salt(*columns: Column | str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(SALTS))
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import salt, settled, whole
+from .common import packed, salt, settled, whole
 
 BUCKETS = 64
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -82,8 +82,7 @@ def ingest(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 def keep_first(docs: DataFrame, answers: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
-    stay = answers.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_id", F.col("doc_id")).withColumn("_sha", digest(F.col("text")))
-    joined = marked.join(stay.withColumnRenamed("_id", "_stay").withColumnRenamed("_sha", "_stay_sha"),
-                         F.col("_id").eqNullSafe(F.col("_stay")) & (F.col("_sha") == F.col("_stay_sha")), "left_semi")
-    return joined.dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+    stay = answers.where("kept").select("doc_id", "text_sha256")
+    rows = packed(docs, id=F.col("doc_id"), sha=digest(F.col("text")))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))
+    return rows.join(stay, same, "left_semi").dropDuplicates(["id", "sha"]).select("row.*")

@@ -11,7 +11,7 @@ salt before its hash is gathered, and answers go back to the salts.
 Defined results: lines are what stands between line feeds; a NULL text counts as empty, one empty line; windows
 of blanks alone are not compared; texts of fewer than three lines stay as they are; rows that repeat both id and
 text count as one document and each get its answer; a NULL id comes first; an empty table gives an empty result;
-other columns are kept by :func:`remove`.
+other columns are kept by :func:`remove`, but for those that have the names of its own results.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, whole, with_facts
+from .common import packed, settled, whole, with_facts
 
 WINDOW = 3
 
@@ -61,15 +61,16 @@ def ranges(places: Column) -> Column:
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WINDOW) -> DataFrame:
     """``docs`` with the text that stays, and n_lines, n_removed and removed (the places)."""
     gone = settled(covered(settled(windows(docs, doc_id, text, width)), width)).select(
-        F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("removed").alias("_removed")
+        F.col("doc_id").alias("of"), F.col("content").alias("hash"), "removed"
     )
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(whole(F.col(text))) == F.col("_content"))
-    lines = lines_of(F.col(text))
-    removed = F.coalesce("_removed", F.array().cast("array<long>"))
-    stays = F.filter(lines, lambda line, place: ~F.array_contains(F.col("_removed"), place.cast("long")))
-    cleaned = F.when(F.col("_removed").isNull(), whole(F.col(text))).otherwise(F.array_join(stays, "\n"))
-    return docs.join(gone, same, "left").select(
-        *(F.col(name) for name in docs.columns if name != text),
+    rows = packed(docs, id=F.col(doc_id), text=whole(F.col(text)))
+    lines = lines_of(F.col("text"))
+    removed = F.coalesce("removed", F.array().cast("array<long>"))
+    stays = F.filter(lines, lambda line, place: ~F.array_contains(F.col("removed"), place.cast("long")))
+    cleaned = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
+    taken = {text, "n_lines", "n_removed", "removed"}
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("hash")), "left").select(
+        *(F.col(f"row.`{name}`") for name in docs.columns if name not in taken),
         cleaned.alias(text),
         F.size(lines).cast("long").alias("n_lines"),
         F.size(removed).cast("long").alias("n_removed"),

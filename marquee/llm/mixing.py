@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settled, whole
+from .common import packed, settled, whole
 
 # Neighbouring Fibonacci numbers.
 MODULUS, FACTOR = 1_134_903_170, 701_408_733
@@ -167,12 +167,11 @@ def repeated(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id", source:
     Only the documents at a source's cut are taken in part. Rows alike in id, source and text share the sum of
     their copies.
     """
-    copies = mixed.groupBy("doc_id", "source", "content").agg(F.sum(F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0)).cast("int").alias("_copies"))
-    wanted = copies.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("content").alias("_content"), "_copies")
-    marked = docs.withColumn("_key", F.xxhash64(whole(F.col(text))))
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_content"))
-    alike = marked.dropDuplicates([doc_id, source, "_key"])
-    return alike.join(wanted, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    copies = mixed.groupBy("doc_id", "source", "content").agg(F.sum(F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0)).cast("int").alias("copies"))
+    rows = packed(docs, id=F.col(doc_id), origin=F.col(source), hash=F.xxhash64(whole(F.col(text)))).dropDuplicates(["id", "origin", "hash"])
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("origin").eqNullSafe(F.col("source")) & (F.col("hash") == F.col("content"))
+    joined = rows.join(copies.where("copies > 0"), same)
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def digests(mixed: DataFrame) -> DataFrame:

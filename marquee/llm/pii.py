@@ -24,7 +24,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?|[A-Z0-9]{11,30})",
 }
 # Prior score of a kind and words that speak for it.
 PRIORS = {"email": 0.7, "ip": 0.4, "card": 0.6, "phone": 0.5, "iban": 0.7}

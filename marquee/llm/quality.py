@@ -31,7 +31,7 @@ from .common import whole
 MOST_LABELLED = 4096
 WIDTH = 1 << 18
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.5, 1e-5
-LEAST_ROWS = 5
+LEAST_ROWS, LEAST_STEPS = 5, 2000
 REMEMBERED = 400_000
 GRADES = 3
 SCORES = "doc_id long, expected_grade double, " + ", ".join(f"p_ge_{k} double" for k in range(1, GRADES))
@@ -95,7 +95,8 @@ def fit(texts: list[str], grades: list[int]) -> Model | None:
     share = np.clip(above.mean(0), 1e-3, 1 - 1e-3)
     thresholds, moved = np.log((1 - share) / share), np.full(GRADES - 1, 1e-8)
     order = np.random.default_rng(0)
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, LEAST_STEPS * BATCH // len(rows))
+    for _ in range(epochs):
         for batch in np.array_split(order.permutation(len(rows)), -(-len(rows) // BATCH)):
             slope, shift = np.zeros(WIDTH), np.zeros(GRADES - 1)
             for row in batch:

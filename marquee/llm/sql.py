@@ -71,7 +71,7 @@ WITH {_spans([
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", 0),
     ("card", r"[0-9]([\x20-]?[0-9])+", 0),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0),
-    ("iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", 0),
+    ("iban", r"[A-Z]{2}[0-9]{2}(?:(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?|[A-Z0-9]{11,30})", 0),
 ])},
 figured AS (
     SELECT *, regexp_replace(val, '[^0-9]', '', 'g') AS figures, replace(val, ' ', '') AS code FROM spans
