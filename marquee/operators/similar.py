@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import drop_stop_words, fold_tags
 from ..functions.words import ENGLISH_STOP_WORDS
-from ..session import materialise
 from .numbering import first_rows
 from .skew import hot_counts, skew_join
 
 TOKEN = r"(?U)\b\w\w+\b"
 WEIGHT = "decimal(16,7)"
 PRODUCT = "decimal(38,14)"
-MAX_TAGS = 12
+RUNNING = "decimal(30,14)"  # adding two of these keeps all places
+LEVELS = 32  # steps of the parts that sets meet on
 
 
 def tag_tokens(tags: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS) -> Column:
@@ -35,9 +35,9 @@ def with_tag_key(items: DataFrame, tags: str = "tags", **options) -> DataFrame:
 def tag_sets(keyed: DataFrame) -> DataFrame:
     """(tag_key, members): the distinct tag sets, the empty one included, and how many items have each.
 
-    Everything else is worked out from these, so they are materialised and the items read once for them.
+    Everything else is worked out from these; the plan's uses of them share one exchange.
     """
-    return materialise(keyed.groupBy("tag_key").agg(F.count("*").alias("members")))
+    return keyed.groupBy("tag_key").agg(F.count("*").alias("members"))
 
 
 def _to_items(keyed: DataFrame, sets: DataFrame, per_set: DataFrame, item: str) -> DataFrame:
@@ -65,13 +65,13 @@ def idf(sets: DataFrame) -> DataFrame:
 
 
 def set_weights(sets: DataFrame) -> DataFrame:
-    """(tag_key, token, tf, weight) with weight = tf * idf, not yet normalised.
+    """(tag_key, token, tf, weight, idf) with weight = tf * idf, not yet normalised.
 
     The join is left to the optimiser: the vocabulary is broadcast when it measures small, and a token
     of very many sets is split as a skewed partition when it does not.
     """
     joined = _set_tokens(sets).select("tag_key", "token", "tf").join(idf(sets).select("token", "idf"), "token")
-    return joined.select("tag_key", "token", "tf", (F.col("tf") * F.col("idf")).cast(WEIGHT).alias("weight"))
+    return joined.select("tag_key", "token", "tf", (F.col("tf") * F.col("idf")).cast(WEIGHT).alias("weight"), "idf")
 
 
 def _square(weight: str = "weight") -> Column:
@@ -89,11 +89,11 @@ def tfidf(items: DataFrame, item: str, tags: str = "tags") -> DataFrame:
 
 
 def set_vectors(sets: DataFrame) -> DataFrame:
-    """(tag_key, entries, square): the set's (token, tf, weight) entries and its squared length.
+    """(tag_key, entries, square): the set's (token, tf, weight, idf) entries and its squared length.
 
     A group here is one tag set, as large as its own ``tag_key``.
     """
-    entry = F.struct("token", "tf", "weight")
+    entry = F.struct("token", "tf", "weight", "idf")
     return set_weights(sets).groupBy("tag_key").agg(
         F.array_sort(F.collect_list(entry)).alias("entries"), _square().alias("square")
     )
@@ -155,66 +155,109 @@ def similar_to(
     return first_rows(best, count, [F.desc("score"), "other"], "rk")
 
 
-def _subsets(entries: Column) -> Column:
-    """All non-empty subsets of a short array, each in the array's order."""
-    last = F.call_function("shiftleft", F.lit(1), F.size(entries)) - 1
+def _postings(vectors: DataFrame) -> DataFrame:
+    """(tag_key, square, token, part): per token of a set, the length of the vector from this token on.
 
-    def chosen(mask: Column) -> Column:
-        return F.filter(entries, lambda _, at: F.call_function("shiftright", mask, at).bitwiseAND(F.lit(1)) == 1)
+    Tokens are taken from the rarest to the commonest, and ``part`` is relative to the whole length. Two sets whose
+    rarest common token is this one share nothing before it, so their cosine is at most the product of their parts.
+    """
+    rare_last = F.reverse(
+        F.array_sort(
+            F.transform("entries", lambda entry: F.struct((-entry["idf"]).alias("common"), entry["token"].alias("token"), entry["weight"].alias("weight")))
+        )
+    )
+    start = F.struct(
+        F.lit(0).cast(RUNNING).alias("sum"), F.array().cast(f"array<struct<token:string,sum:{RUNNING}>>").alias("seen")
+    )
+
+    def step(state: Column, entry: Column) -> Column:
+        total = (state["sum"] + (entry["weight"] * entry["weight"]).cast(RUNNING)).cast(RUNNING)
+        seen = F.array(F.struct(entry["token"].alias("token"), total.alias("sum")))
+        return F.struct(total.alias("sum"), F.concat(state["seen"], seen).alias("seen"))
+
+    suffixes = F.aggregate(rare_last, start, step, lambda state: state["seen"])
+    rows = vectors.select("tag_key", "members", "square", F.inline(suffixes))
+    return rows.select("tag_key", "members", "square", "token", F.sqrt(F.col("sum").cast("double") / F.col("square").cast("double")).alias("part"))
+
+
+def _pair_scores(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(tag_key, other_key, score) of pairs of sets."""
+    mine = vectors.select(
+        "tag_key", "square", F.transform("entries", lambda e: e["token"]).alias("tokens"), F.transform("entries", lambda e: e["weight"]).alias("weights")
+    )
+    others = mine.select(*(F.col(name).alias(f"other_{name.removeprefix('tag_')}") for name in mine.columns))
+    joined = pairs.join(mine, "tag_key").join(others, "other_key")
+
+    def weight(prefix: str, token: Column) -> Column:
+        return F.element_at(f"{prefix}weights", F.array_position(f"{prefix}tokens", token).cast("int"))
+
+    dot = F.aggregate(
+        F.array_intersect("tokens", "other_tokens"),
+        F.lit(0).cast(RUNNING),
+        lambda total, token: (total + (weight("", token) * weight("other_", token)).cast(RUNNING)).cast(RUNNING),
+    )
+    return joined.select("tag_key", "other_key", _cosine(dot, F.col("square"), F.col("other_square")).alias("score"))
+
+
+def _bounds(postings: DataFrame, vectors: DataFrame, wanted: int) -> DataFrame:
+    """(tag_key, bound): a score that at least ``wanted`` items reach for the set, 0 when too few were met.
 
-    return F.transform(F.sequence(F.lit(1), last), chosen)
+    Every set is scored against the ``wanted`` sets with the shortest vectors of each of its tokens.
+    """
+    shortest = Window.partitionBy("token").orderBy("square", "tag_key")
+    heads = postings.withColumn("_place", F.row_number().over(shortest)).where(F.col("_place") <= wanted)
+    heads = heads.select("token", F.col("tag_key").alias("other_key"))
+    pairs = postings.select("tag_key", "token").join(heads, "token").select("tag_key", "other_key").distinct()
+    scored = _pair_scores(pairs, vectors).join(vectors.select(F.col("tag_key").alias("other_key"), "members"), "other_key")
+    best = Window.partitionBy("tag_key").orderBy(F.desc("score"), "other_key")
+    met = F.sum("members").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    reached = scored.withColumn("_met", met).where(F.col("_met") >= wanted)
+    return reached.groupBy("tag_key").agg(F.max("score").alias("bound"))
+
+
+def _close_pairs(postings: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(tag_key, other_key) of every pair of sets that may reach the first one's bound.
+
+    Sets meet on (token, level of their part). A set asks only for levels whose part, times its own, can
+    reach its bound; from its common tokens it mostly asks for none, which keeps pairs out of a popular
+    token's group instead of forming and dropping them.
+    """
+    slack = 1 - 1e-9
+    asking = postings.join(bounds, "tag_key", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)) * slack)
+    needed = F.col("bound") / F.col("part")
+    asking = asking.where(needed <= 1).select(
+        "tag_key", "token", "part", "bound", F.explode(F.sequence(F.floor(needed * LEVELS).cast("int"), F.lit(LEVELS))).alias("level")
+    )
+    offered = postings.select(
+        F.col("tag_key").alias("other_key"), "token", F.col("part").alias("other_part"),
+        F.least(F.floor(F.col("part") * LEVELS), F.lit(LEVELS)).cast("int").alias("level"),
+    )
+    met = asking.join(offered, ["token", "level"]).where(F.col("part") * F.col("other_part") >= F.col("bound"))
+    return met.select("tag_key", "other_key").distinct()
 
 
-def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10, max_tags: int = MAX_TAGS) -> DataFrame:
+def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10) -> DataFrame:
     """(item, other, score, rk): for every item the ``count`` most similar others, exact, ties to the lower id.
 
-    Pairs are never formed inside a token's group. Of the items whose tags include a token set U, only
-    the ``count + 1`` with the shortest vectors can be among the best of an item whose common tokens
-    with them are exactly U: any of those ahead has at least the same dot product over no greater
-    length. So each set is filed under its token subsets, every file keeps its ``count + 1`` shortest, and
-    each set looks up its own subsets. Work per set is 2^tokens, hence ``max_tags``: an item with more
-    distinct tokens raises an error (use :func:`similar_to`, which takes any number).
+    Works on distinct tag sets, with any number of tags. A first look at the shortest vectors of each token
+    gives every set a score that its best ``count + 1`` items reach or pass; then only pairs that may reach it are
+    scored (:func:`_close_pairs`). Which pairs are left out follows from the bounds alone, so none is lost.
     """
+    wanted = count + 1
     keyed = with_tag_key(items, tags).select(item, "tag_key")
     sets = tag_sets(keyed)
-    vectors = materialise(set_vectors(sets))
-    too_many = F.raise_error(F.concat(F.lit(f"more than {max_tags} tag tokens: "), F.col("tag_key")))
-    vectors = vectors.withColumn("entries", F.when(F.size("entries") <= max_tags, F.col("entries")).otherwise(too_many))
-    subsets = vectors.select("tag_key", "square", "entries", F.explode(_subsets(F.col("entries"))).alias("subset"))
-
-    def tokens(column: str) -> Column:
-        return F.transform(column, lambda entry: entry["token"])
-
-    members = _first_members(keyed, item, count + 1).withColumnRenamed(item, "other")
-    filed = members.join(subsets, "tag_key").select(
-        F.array_join(tokens("subset"), " ").alias("shared"),
-        F.transform("subset", lambda entry: entry["tf"]).alias("tfs"),
-        F.transform("subset", lambda entry: entry["weight"]).alias("other_weights"),
-        F.col("square").alias("other_square"),
-        tokens("entries").alias("other_tokens"),
-        "other",
-    )
-    shortest = Window.partitionBy("shared", "tfs").orderBy("other_square", "other")
-    files = filed.withColumn("_place", F.row_number().over(shortest)).where(F.col("_place") <= count + 1)
-
-    lookups = subsets.select(
-        "tag_key",
-        "square",
-        tokens("entries").alias("own_tokens"),
-        F.array_join(tokens("subset"), " ").alias("shared"),
-        F.transform("subset", lambda entry: entry["weight"]).alias("weights"),
-    )
-    pairs = lookups.join(files, "shared").where(
-        F.size(F.array_intersect("own_tokens", "other_tokens")) == F.size("weights")
-    )
-    dot = F.aggregate(
-        F.zip_with("weights", "other_weights", lambda a, b: (a * b).cast(PRODUCT)),
-        F.lit(0).cast(PRODUCT),
-        lambda total, part: (total + part).cast(PRODUCT),
-    )
-    scored = pairs.select("tag_key", "other", _cosine(dot, F.col("square"), F.col("other_square")).alias("score"))
+    vectors = set_vectors(sets).join(sets, "tag_key")
+    postings = _postings(vectors)
+    pairs = _close_pairs(postings, _bounds(postings, vectors, wanted))
+    members = _first_members(keyed, item, wanted).withColumnRenamed(item, "other").withColumnRenamed("tag_key", "other_key")
+    first = members.groupBy("other_key").agg(F.min("other").alias("_first"))
+    # Each of the best items is in one of the best sets, ordered by score and lowest item.
+    scored = _pair_scores(pairs, vectors).join(first, "other_key")
+    best_sets = Window.partitionBy("tag_key").orderBy(F.desc("score"), "_first")
+    sets_kept = scored.withColumn("_place", F.row_number().over(best_sets)).where(F.col("_place") <= wanted)
     best = Window.partitionBy("tag_key").orderBy(F.desc("score"), "other")
-    kept = scored.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= count + 1)
+    found = sets_kept.drop("_place", "_first").join(members, "other_key")
+    kept = found.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted)
     lists = kept.groupBy("tag_key").agg(F.array_sort(F.collect_list(F.struct("_place", "other", "score"))).alias("best"))
 
     rows = _to_items(keyed, sets, lists, item)

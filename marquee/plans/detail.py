@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.links import link_host
 from ..functions.sentiment import label
 from ..operators.lists import PAGE, paged
-from ..operators.similar import MAX_TAGS, similar_to, similar_top
+from ..operators.similar import similar_to, similar_top
 from .search import name_lists, with_names
 
 SIMILAR_SHOWN = 5
@@ -50,9 +50,6 @@ def review_entries(model: dict[str, DataFrame], links: DataFrame | None = None)
 def similar_titles(model: dict[str, DataFrame], count: int = SIMILAR_SHOWN, movie_id: int | None = None) -> DataFrame:
     """(movie_id, similar): up to ``count`` most similar movies by genre, best first, per movie or for one."""
     tagged = model["movie_genre"].join(model["genres"], "genre_id")
-    # One tag more than similar_top takes is enough for it to refuse the movie; no longer list is built.
-    place = F.row_number().over(Window.partitionBy("movie_id").orderBy("genre_id"))
-    tagged = tagged.withColumn("place", place).where(F.col("place") <= MAX_TAGS + 1)
     tags = tagged.groupBy("movie_id").agg(F.collect_list("genre_type").alias("tags"))
     items = model["movies"].select("movie_id").join(tags, "movie_id", "left")
     if movie_id is None:

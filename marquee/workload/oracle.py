@@ -156,8 +156,9 @@ def _checks() -> str:
 
 
 # Brute force: every pair of items with a common token.
-SIMILAR = f"""
-items AS (SELECT p_partkey AS item, p_name AS title FROM part),
+def _similar(items: str) -> str:
+    return f"""
+items AS ({items}),
 item_tokens AS (
   SELECT item, token, count(*) AS tf
   FROM (SELECT item, unnest(regexp_extract_all(lower(title), '\\w\\w+')) AS token FROM items)
@@ -175,6 +176,13 @@ pairs AS (
   SELECT d.item, d.other, d.dot / (sqrt(s.square) * sqrt(o.square)) AS score
   FROM dots d JOIN squares s ON s.item = d.item JOIN squares o ON o.item = d.other)"""
 
+
+SIMILAR = _similar("SELECT p_partkey AS item, p_name AS title FROM part")
+CAST_SIMILAR = _similar(
+    "SELECT p_partkey AS item, (SELECT string_agg(DISTINCT s_name, ' ') FROM lineitem JOIN supplier ON s_suppkey = l_suppkey"
+    " WHERE l_partkey = p_partkey) AS title FROM part"
+)
+
 LINKS = """
 links AS (
   SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages),
@@ -338,6 +346,14 @@ ORACLE: dict[str, str] = {
       SELECT item, other, round(score, 6) AS score, CAST(rk AS INTEGER) AS rk FROM (
         SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, other) AS rk FROM pairs WHERE item <> other)
       WHERE rk <= 10""",
+    "similar_wide": f"""WITH {CAST_SIMILAR}
+      SELECT item, other, round(score, 6) AS score, CAST(rk AS INTEGER) AS rk FROM (
+        SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, other) AS rk FROM pairs WHERE item <> other)
+      WHERE rk <= 10""",
+    "detail_wide": f"""WITH {CAST_SIMILAR}
+      SELECT item AS movie_id, string_agg(CAST(other AS VARCHAR), '|' ORDER BY rk) AS similar FROM (
+        SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, other) AS rk FROM pairs WHERE item <> other)
+      WHERE rk <= 5 GROUP BY item""",
     "detail_flat": f"""WITH {MODEL}, {SIMILAR},
       best AS (
         SELECT item AS movie_id, string_agg(CAST(other AS VARCHAR), '|' ORDER BY rk) AS similar_movie_id FROM (

@@ -468,6 +468,19 @@ def similar_topk(t: Given) -> DataFrame:
     return similar.similar_top(_tagged(t), "item").withColumn("score", F.round("score", 6))
 
 
+@query
+def similar_wide(t: Given) -> DataFrame:
+    items = A.cast_items(t).withColumnRenamed("p_partkey", "item")
+    return similar.similar_top(items, "item").withColumn("score", F.round("score", 6))
+
+
+@query
+def detail_wide(t: Given) -> DataFrame:
+    rows = detail.similar_titles(A.cast_model(t))
+    ids = F.transform("similar", lambda entry: entry["movie_id"].cast("string"))
+    return rows.select("movie_id", F.array_join(ids, "|").alias("similar"))
+
+
 @query
 def detail_flat(t: Given) -> DataFrame:
     documents = detail.detail(GivenModel(t))

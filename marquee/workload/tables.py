@@ -54,6 +54,23 @@ def part_items(given: Given) -> DataFrame:
     return given.part.select("p_partkey", "p_name", tags_of(F.col("p_name")).alias("tags"))
 
 
+def cast_items(given: Given) -> DataFrame:
+    """Parts tagged with the names of all their suppliers."""
+    named = _cast(given, "s_suppkey").join(given.supplier.select("s_suppkey", "s_name"), "s_suppkey")
+    tags = named.groupBy(F.col("movie_id").alias("p_partkey")).agg(F.array_sort(F.collect_list("s_name")).alias("tags"))
+    return given.part.select("p_partkey").join(tags, "p_partkey", "left")
+
+
+def cast_model(given: Given) -> dict[str, DataFrame]:
+    """What similar titles need of the model, with suppliers in the place of genres."""
+    model = GivenModel(given)
+    return {
+        "movies": model["movies"],
+        "genres": _people(given, "genre_id").withColumnRenamed("name", "genre_type"),
+        "movie_genre": _cast(given, "genre_id"),
+    }
+
+
 def _movies(given: Given) -> DataFrame:
     shipped = given.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
         F.min(F.to_date("l_shipdate")).alias("release_date")

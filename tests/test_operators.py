@@ -256,12 +256,35 @@ def test_similar_excludes_a_title(spark):
     assert similar.similar_to(df, "item", F.col("title") == "Z").count() == 0
 
 
-def test_similar_top_refuses_too_many_tags(spark):
-    wide = [(1, [f"tag{at}" for at in range(20)]), (2, ["tag1"])]
+def test_similar_top_takes_any_number_of_tags(spark):
+    wide = [(1, [f"tag{at:02}" for at in range(20)]), (2, ["tag19"]), (3, ["tag01"]), (4, ["other", "tag01"])]
     df = spark.createDataFrame(wide, "item long, tags array<string>")
-    with pytest.raises(Exception, match="more than 12 tag tokens"):
-        similar.similar_top(df, "item").collect()
-    assert [r["other"] for r in similar.similar_to(df, "item", F.col("item") == 1).collect()] == [2]
+    top = similar.similar_top(df, "item").where("item = 1").orderBy("rk").collect()
+    one = similar.similar_to(df, "item", F.col("item") == 1).orderBy("rk").collect()
+    assert [(r["other"], r["score"]) for r in top] == [(r["other"], r["score"]) for r in one]
+    assert {r["other"] for r in top} == {2, 3, 4}
+
+
+def test_similar_top_equals_all_pairs(spark):
+    import random
+
+    source = random.Random(3)
+    items = [(n, [f"t{min(int(source.expovariate(0.15)), 40):02}" for _ in range(source.randint(0, 18))]) for n in range(150)]
+    df = spark.createDataFrame(items, "item long, tags array<string>")
+    top = {}
+    for row in similar.similar_top(df, "item", count=4).collect():
+        top.setdefault(row["item"], []).append((row["rk"], row["other"], round(row["score"], 9)))
+    vectors = {}
+    for row in similar.tfidf(df, "item").collect():
+        vectors.setdefault(row["item"], {})[row["token"]] = row["weight"]
+    for number, mine in vectors.items():
+        scores = []
+        for other, theirs in vectors.items():
+            shared = mine.keys() & theirs.keys()
+            if other != number and shared:
+                scores.append((-round(sum(mine[token] * theirs[token] for token in shared), 9), other))
+        want = [(rk, other, -score) for rk, (score, other) in enumerate(sorted(scores)[:4], 1)]
+        assert [score for *_, score in sorted(top.get(number, []))] == pytest.approx([score for *_, score in want], abs=1e-7)
 
 
 def test_tfidf_vectors_have_length_one(spark, tagged):
