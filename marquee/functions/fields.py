@@ -1,6 +1,6 @@
-"""Regular-expression fields of stored pages.
+"""Where the site keeps its fields: selectors of page fields, and patterns of links and listings.
 
-A field is a pattern with one group. Class names and element order are the site's, so they are fixed values.
+Class names and element order are the site's, so they are fixed values.
 """
 
 from __future__ import annotations
@@ -8,35 +8,58 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .markup import Field, Group
+
 
 def _class(name: str) -> str:
     return rf'class="[^"]*\b{name}\b[^"]*"[^>]*>'
 
 
-# Where the movie page keeps its single-valued fields.
-TITLE = rf'(?s){_class("product_page_title")}.*?<h1[^>]*>([^<]*)'
-DISTRIBUTOR = rf'(?s){_class("distributor")}.*?<a\b[^>]*>([^<]*)'
-RELEASE_DATE = rf'{_class("release_date")}\s*<span[^>]*>([^<]*)'
-RATING = rf'{_class("rating")}\s*<span[^>]*>([^<]*)'
-RUNTIME = rf'{_class("runtime")}\s*<span[^>]*>([^<]*)'
-SUMMARY_EXPANDED = rf'(?s){_class("summary_deck")}.*?{_class("blurb_expanded")}([^<]*)'
-SUMMARY_SHORT = rf'{_class("summary_deck")}\s*<span[^>]*>\s*<span[^>]*>([^<]*)'
-IMAGE = r'<img\b(?=[^>]*\bsummary_img\b)[^>]*\bsrc="([^"]*)"'
-
-# The sections that hold a list, and one entry of each list.
-CAST_SECTION = rf'(?s){_class("summary_cast")}(.*?)</div>'
-DIRECTOR_SECTION = rf'(?s){_class("director")}(.*?)</div>'
-GENRE_SECTION = rf'(?s){_class("genres")}(.*?)</div>'
-LINK_TEXT = r"<a\b[^>]*>([^<]+)"
-LINKED_SPAN = r"<a\b[^>]*>\s*<span[^>]*>([^<]+)"
-LEAF_SPAN = r"<span[^>]*>([^<]*[^<\s][^<]*)</span>"
-AWARD = rf'(?s){_class("ranking_title")}\s*<a\b[^>]*>([^<]+)'
-STREAM_LINK = r'<a\b(?=[^>]*\besite_url\b)[^>]*\bhref="([^"]*)"'
+# A score block, the critics' first and the users' second.
+SCORE = {
+    "score": Field((".metascore_w",)),
+    "positive": Field((".chart.positive .count.fr",)),
+    "mixed": Field((".chart.mixed .count.fr",)),
+    "negative": Field((".chart.negative .count.fr",)),
+    "link": Field(("a.metascore_anchor@href",)),
+}
+
+# The movie page.
+MOVIE = {
+    "title": Field((".product_page_title h1",)),
+    "distributor": Field((".distributor a",)),
+    "date": Field((".release_date span",)),
+    "starring": Field((".summary_cast a",), many=True),
+    "summary": Field((".summary_deck .blurb_expanded", ".summary_deck span span")),
+    "director": Field((".director a span",), many=True),
+    "genres": Field((".genres span span",), many=True),
+    "rating": Field((".rating span",)),
+    "runtime": Field((".runtime span",)),
+    "awards": Field((".ranking_title a",), many=True),
+    "stream_link": Field(("a.esite_url@href",), many=True),
+    "image": Field(("img.summary_img@src",)),
+    "scores": Group(".distribution", SCORE),
+}
 
-# The score distribution; the critics' block comes first, the users' second.
-DISTRIBUTION = r'(?s)(class="[^"]*\bdistribution\b.*)'
-SCORE_VALUE = r"\bmetascore_w\b[^>]*>([^<]*)"
-SCORE_LINK = r'<a\b(?=[^>]*\bmetascore_anchor\b)[^>]*\bhref="([^"]*)"'
+# Review pages.
+_REVIEWED = {
+    "release_date": Field((".release_date span",)),
+    "movie_name": Field((".product_page_title h1",)),
+    "score": Field((".num_wrapper span",)),
+}
+CRITICS = _REVIEWED | {
+    "reviews": Group("div.review.pad_top1.pad_btm1", {"review_score": Field((".metascore_w",)), "review": Field((".no_hover",))})
+}
+USERS = _REVIEWED | {
+    "reviews": Group(
+        "div.review.pad_top1",
+        {
+            "reviewer_name": Field((".author",)),
+            "review_score": Field((".metascore_w",)),
+            "review": Field((".review_body .blurb_expanded", ".review_body span")),
+        },
+    )
+}
 
 # Listing pages and page navigation.
 LISTED_RANK = rf'{_class("numbered")}([^<]*)'
@@ -46,21 +69,6 @@ NEXT_PAGE = rf'{_class("next")}\s*<a\b(?=[^>]*\baction\b)[^>]*\bhref="([^"]*)"'
 NEXT_REVIEWS = rf'(?s){_class("page_nav")}.*?<a\b(?=[^>]*\baction\b)[^>]*\bhref="([^"]*)"'
 ANY_LINK = r'href="([^"]*)"'
 
-# Review pages.
-CRITIC_BLOCK = r'<div class="review pad_top1 pad_btm1[^"]*"[^>]*>'
-USER_BLOCK = r'<div class="review pad_top1[^"]*"[^>]*>'
-REVIEWED_DATE = RELEASE_DATE
-REVIEWED_TITLE = TITLE
-REVIEWED_SCORE = rf'(?s){_class("num_wrapper")}.*?<span[^>]*>([^<]*)'
-REVIEW_SCORE = r"\bmetascore_w\b[^>]*>([^<]*)"
-CRITIC_BODY = rf'{_class("no_hover")}([^<]*)'
-AUTHOR_TEXT = rf'{_class("author")}\s*([^<\s][^<]*)'
-AUTHOR_LINK = rf'{_class("author")}\s*<a\b[^>]*>([^<]*)'
-BODY_EXPANDED = rf'(?s)({_class("blurb_expanded")}.*?</span>)'
-BODY_SHORT = rf'{_class("review_body")}\s*<span[^>]*>([^<]*)'
-
-LABELS = r'(?s)<(div|span)\b[^>]*class="[^"]*label\b[^"]*"[^>]*>.*?</\1>'
-
 
 def first(html: Column, pattern: str) -> Column:
     """Text of the first match, NULL when there is none."""
@@ -70,19 +78,3 @@ def first(html: Column, pattern: str) -> Column:
 def every(html: Column, pattern: str) -> Column:
     """Texts of all matches, an empty array when there is none."""
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
-
-
-def chart(kind: str) -> str:
-    """Pattern of the count of positive, mixed or negative votes."""
-    return rf'(?s)class="[^"]*\bchart {kind}\b.*?{_class("count fr")}([^<]*)'
-
-
-def without_labels(html: Column) -> Column:
-    """The page without its caption elements, so that a section's first child is its value."""
-    return F.regexp_replace(html, LABELS, "")
-
-
-def blocks(html: Column, opening: str) -> Column:
-    """The page cut before each opening tag, without what comes before the first one."""
-    parts = F.split(html, opening)
-    return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))

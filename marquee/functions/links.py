@@ -11,6 +11,30 @@ def link_host(url: Column) -> Column:
     return F.try_element_at(F.split(url, "/"), F.lit(3))
 
 
+def without_dots(url: Column) -> Column:
+    """``url`` with ``.`` and ``..`` segments of its path folded, as RFC 3986 removes them."""
+    root = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(url, r"^[^?#]*(.*)$", 1)
+    segments = F.split(path, "/", -1)
+
+    def fold(kept: Column, segment: Column) -> Column:
+        up = F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+        return F.when(segment == ".", kept).when(segment == "..", up).otherwise(F.concat(kept, F.array(segment)))
+
+    folded = F.aggregate(segments, F.array().cast("array<string>"), fold)
+    last = F.element_at(segments, -1)
+    closed = F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    dotted = (root != "") & path.rlike(r"(^|/)\.\.?(/|$)")
+    return F.when(dotted, F.concat(root, F.array_join(closed, "/"), rest)).otherwise(url)
+
+
+def page_address(url: Column) -> Column:
+    """The address of the page behind a URL: without fragment; NULL when it is not one of http or https."""
+    bare = F.regexp_replace(url, "#.*$", "")
+    return F.when(bare.rlike("^(?i:https?)://"), bare)
+
+
 def absolute(link: Column, page_url: Column) -> Column:
     """Resolve ``link`` against the URL of the page it was found on; NULL for a URL that cannot be read."""
     scheme = F.regexp_extract(page_url, r"^([a-zA-Z][a-zA-Z0-9+.\-]*):", 1)
@@ -27,7 +51,9 @@ def absolute(link: Column, page_url: Column) -> Column:
         .when(link.startswith("#"), F.concat(F.regexp_extract(page_url, r"^([^#]*)", 1), link))
         .otherwise(F.concat(folder, F.lit("/"), link))
     )
-    return F.when(root != "", plain)
+    # A link with a scheme of its own and one that stays on the page keep their path as it is written.
+    kept = link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:(?!//)") | (link == "") | link.startswith("#") | link.startswith("?")
+    return F.when(root != "", F.when(kept, plain).otherwise(without_dots(plain)))
 
 
 def host(url: Column) -> Column:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields as P
-from ..functions.links import absolute, in_domains
-from ..functions.text import RANK_EDGES, strip_markup, tidy
-from ..functions.values import UNRATED, or_empty, whole_number
+from ..functions.links import absolute, in_domains, page_address
+from ..functions.markup import extract
+from ..functions.text import RANK_EDGES, tidy
+from ..functions.values import UNRATED, whole_number
 from .matching import assign_ranks
 
 CRITIC = "Critic Review"
@@ -25,95 +26,55 @@ def listing_ranks(pages: DataFrame) -> DataFrame:
     )
 
 
-def _section(page: Column, section: str, entry: str) -> Column:
-    return P.every(F.regexp_extract(page, section, 1), entry)
-
-
-def _score(block: Column, url: Column, at: int) -> Column:
+def _score(url: Column, at: int) -> Column:
     """Score, distribution and review link of the ``at``-th block; NULL fields when it is missing."""
-
-    def nth(pattern: str) -> Column:
-        return F.get(P.every(block, pattern), F.lit(at))
-
-    distri = F.struct(*[nth(P.chart(kind)).alias(kind) for kind in ("positive", "mixed", "negative")])
+    block = F.get("scores", F.lit(at))
     return F.struct(
-        nth(P.SCORE_VALUE).alias("score"),
-        distri.alias("distri"),
-        absolute(nth(P.SCORE_LINK), url).alias("review_link"),
+        block["score"].alias("score"),
+        F.struct(*[block[kind].alias(kind) for kind in ("positive", "mixed", "negative")]).alias("distri"),
+        absolute(block["link"], url).alias("review_link"),
     )
 
 
-def movie_records(pages: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
-    """Movie pages as nested records, with ``info.id`` from the listing's (title, rank), or -1."""
-    html, page, url = F.col("html"), F.col("_page"), F.col("url")
-    prepared = pages.withColumn("_page", P.without_labels(html))
-    found = prepared.select(
-        "page_id",
-        P.first(page, P.TITLE).alias("title"),
-        P.first(page, P.DISTRIBUTOR).alias("distributor"),
-        P.first(page, P.RELEASE_DATE).alias("date"),
-        _section(page, P.CAST_SECTION, P.LINK_TEXT).alias("starring"),
-        F.coalesce(P.first(page, P.SUMMARY_EXPANDED), P.first(page, P.SUMMARY_SHORT)).alias("summary"),
-        _section(page, P.DIRECTOR_SECTION, P.LINKED_SPAN).alias("director"),
-        _section(page, P.GENRE_SECTION, P.LEAF_SPAN).alias("genres"),
-        F.coalesce(tidy(P.first(page, P.RATING)), F.lit(UNRATED)).alias("rating"),
-        P.first(page, P.RUNTIME).alias("runtime"),
-        or_empty(P.every(page, P.AWARD)).alias("awards"),
-        P.every(page, P.STREAM_LINK).alias("stream_link"),
-        P.first(page, P.IMAGE).alias("image"),
-        _score(F.regexp_extract(html, P.DISTRIBUTION, 1), url, 0).alias("meta_score"),
-        _score(F.regexp_extract(html, P.DISTRIBUTION, 1), url, 1).alias("user_score"),
-    )
+def page_scores(pages: DataFrame, spec: dict = P.MOVIE) -> DataFrame:
+    """(page_id, meta_score, user_score) of each page."""
+    found = extract(pages, {"scores": spec["scores"]})
+    return found.select("page_id", _score(F.col("url"), 0).alias("meta_score"), _score(F.col("url"), 1).alias("user_score"))
+
+
+def movie_records(pages: DataFrame, ranks: DataFrame | None = None, spec: dict = P.MOVIE) -> DataFrame:
+    """Movie pages as nested records, with ``info.id`` from the listing's (title, rank), or -1.
+
+    A page that is stored twice gives two records of one id.
+    """
+    found = extract(pages, spec).withColumn("rating", F.coalesce("rating", F.lit(UNRATED)))
     if ranks is None:
         ranked = found.withColumn("rank", F.lit(-1).cast("long"))
     else:
-        ranks_of = assign_ranks(found.select("page_id", "title"), ranks, "page_id").select("page_id", "rank")
-        ranked = found.join(ranks_of, "page_id")
+        ranks_of = assign_ranks(found.select("page_id", "title").distinct(), ranks, "page_id")
+        ranked = found.join(ranks_of.groupBy("page_id").agg(F.max("rank").alias("rank")), "page_id")
     info = F.struct(
         F.col("rank").alias("id"), "title", "distributor", "date", "starring", "summary", "director", "genres",
         "rating", "runtime", "awards", "stream_link", "image",
     )
-    return ranked.select(info.alias("info"), "meta_score", "user_score")
+    return ranked.select(info.alias("info"), _score(F.col("url"), 0).alias("meta_score"), _score(F.col("url"), 1).alias("user_score"))
 
 
-def _review_blocks(pages: DataFrame, opening: str, score: str) -> DataFrame:
-    html = F.col("html")
-    return pages.select(
-        P.first(P.without_labels(html), P.REVIEWED_DATE).alias("release_date"),
-        P.first(html, P.REVIEWED_TITLE).alias("movie_name"),
-        P.first(html, P.REVIEWED_SCORE).alias(score),
-        F.explode(P.blocks(html, opening)).alias("block"),
-    )
+def _reviews(pages: DataFrame, spec: dict, kind: str, score: str) -> DataFrame:
+    found = extract(pages, spec).withColumnRenamed("score", score)
+    return found.select(F.lit(kind).alias("review_type"), "release_date", "movie_name", score, F.explode("reviews").alias("block"))
 
 
-def critic_reviews(pages: DataFrame) -> DataFrame:
+def critic_reviews(pages: DataFrame, spec: dict = P.CRITICS) -> DataFrame:
     """One row per critic review with a body; the page's own fields are repeated on each."""
-    block = F.col("block")
-    return _review_blocks(pages, P.CRITIC_BLOCK, "meta_score").select(
-        F.lit(CRITIC).alias("review_type"),
-        "release_date",
-        "movie_name",
-        "meta_score",
-        P.first(block, P.REVIEW_SCORE).alias("review_score"),
-        tidy(P.first(block, P.CRITIC_BODY)).alias("review"),
-    ).where(F.col("review").isNotNull())
-
-
-def user_reviews(pages: DataFrame) -> DataFrame:
+    rows = _reviews(pages, spec, CRITIC, "meta_score")
+    return rows.select("*", "block.review_score", "block.review").drop("block").where(F.col("review").isNotNull())
+
+
+def user_reviews(pages: DataFrame, spec: dict = P.USERS) -> DataFrame:
     """One row per user review with an author: plain name or linked, body expanded or short."""
-    block = F.col("block")
-    return _review_blocks(pages, P.USER_BLOCK, "user_review_score").select(
-        F.lit(USER).alias("review_type"),
-        "release_date",
-        "movie_name",
-        "user_review_score",
-        F.coalesce(P.first(block, P.AUTHOR_TEXT), P.first(block, P.AUTHOR_LINK)).alias("reviewer_name"),
-        P.first(block, P.REVIEW_SCORE).alias("review_score"),
-        F.coalesce(
-            strip_markup(F.regexp_replace(P.first(block, P.BODY_EXPANDED), r"^[^>]*>", "")),
-            tidy(P.first(block, P.BODY_SHORT)),
-        ).alias("review"),
-    ).where(F.col("reviewer_name").isNotNull())
+    rows = _reviews(pages, spec, USER, "user_review_score")
+    return rows.select("*", "block.reviewer_name", "block.review_score", "block.review").drop("block").where(F.col("reviewer_name").isNotNull())
 
 
 def review_feed(critics: DataFrame, users: DataFrame) -> DataFrame:
@@ -141,6 +102,9 @@ def allowed(links: DataFrame, domains: list[str], column: str = "abs_url") -> Da
 
 
 def frontier(links: DataFrame, fetched: DataFrame) -> DataFrame:
-    """(abs_url): distinct links not fetched yet; equal links are combined before they are shuffled."""
-    wanted = links.select("abs_url").where(F.col("abs_url").isNotNull()).distinct()
-    return wanted.join(fetched.select(F.col("url").alias("abs_url")), "abs_url", "left_anti")
+    """(abs_url): distinct pages not fetched yet, without fragments and other schemes than http and https.
+
+    Equal links are combined before they are shuffled.
+    """
+    wanted = links.select(page_address(F.col("abs_url")).alias("abs_url")).where(F.col("abs_url").isNotNull()).distinct()
+    return wanted.join(fetched.select(page_address(F.col("url")).alias("abs_url")), "abs_url", "left_anti")

@@ -189,6 +189,17 @@ links AS (
 resolved AS (
   SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href AS abs_url FROM links)"""
 
+GIVEN_PAGES = """
+parsed AS (
+  SELECT page_id, url, nullif(trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')), '') AS distributor,
+    coalesce(nullif(trim(replace(regexp_extract(html, '<article><h1>([^<]*)</h1>', 1), '&amp;', '&')), ''),
+      nullif(trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')), '')) AS title,
+    nullif(trim(replace(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), '&amp;', '&')), '') AS summary,
+    list_transform(list_zip(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a href="([^"]*)">', 1),
+      regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a href="[^"]*">([^<]*)</a>', 1)),
+      lambda z: {'h': replace(z[1], '&amp;', '&'), 'x': replace(z[2], '&amp;', '&')}) AS entries
+  FROM pages)"""
+
 ORDER_CATALOG = """
 reviews_in AS (
   SELECT DISTINCT l_orderkey, l_linenumber, o_custkey AS title,
@@ -369,6 +380,17 @@ ORACLE: dict[str, str] = {
     "page_fields": """SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
       coalesce(nullif(regexp_extract(html, '<h1>([^<]*)</h1>', 1), ''), nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '')) AS h1,
       CAST(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS INTEGER) AS n_links FROM pages""",
+    "page_records": f"""WITH {GIVEN_PAGES}
+      SELECT CAST(CASE WHEN page_id = min(page_id) OVER (PARTITION BY title) THEN max(page_id) OVER (PARTITION BY title) ELSE -1 END AS BIGINT) AS id,
+        title, distributor, summary, 'Not Rated' AS rating, starring, stream_link
+      FROM (SELECT *, array_to_string(list_transform(entries, lambda e: e.x), '|') AS starring,
+        array_to_string(list_transform(entries, lambda e: e.h), '|') AS stream_link FROM parsed)""",
+    "page_scores": f"""WITH {GIVEN_PAGES}
+      SELECT page_id, entries[1].x AS first, entries[2].x AS second,
+        regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || entries[1].h AS link FROM parsed""",
+    "page_reviews": f"""WITH {GIVEN_PAGES}, entries AS (SELECT distributor AS movie_name, unnest(entries) AS e FROM parsed)
+      SELECT 'Critic Review' AS review_type, movie_name, NULL::VARCHAR AS reviewer_name, e.x AS review FROM entries
+      UNION ALL SELECT 'User Review', movie_name, e.h, e.x FROM entries""",
     "page_blocks": """WITH bodies AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS b FROM pages)
       SELECT * FROM (SELECT page_id, CAST(unnest(range(len(b))) AS INTEGER) AS pos, trim(unnest(b), ' \t\r\n') AS paragraph FROM bodies)
       WHERE paragraph <> ''""",
@@ -381,7 +403,7 @@ ORACLE: dict[str, str] = {
       SELECT host, count(*) AS n FROM hosts WHERE """
     + " OR ".join(f"host = '{domain}' OR ends_with(host, '.{domain}')" for domain in ALLOWED_DOMAINS)
     + " GROUP BY host",
-    "frontier": f"WITH {LINKS} SELECT DISTINCT abs_url FROM resolved WHERE abs_url NOT IN (SELECT url FROM pages)",
+    "frontier": f"WITH {LINKS} SELECT DISTINCT abs_url FROM resolved WHERE abs_url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages)",
     "next_pages": f"""WITH found AS (
         SELECT page_id, url, nullif(regexp_extract(html, '<a href="([^"]*)">{NEXT_TEXT}</a>', 1), '') AS href FROM pages)
       SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href AS next_url FROM found""",

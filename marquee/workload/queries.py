@@ -12,6 +12,7 @@ from ..functions import fields as P
 from ..functions import links as L
 from ..functions import text as X
 from ..functions import values as V
+from ..functions.markup import Field, Group
 from ..functions.sentiment import label, polarity
 from ..operators import checks, lists, matching, numbering, pages, similar, stats
 from ..plans import detail, lookup, search
@@ -509,6 +510,43 @@ def page_fields(t: Given) -> DataFrame:
     )
 
 
+# The given pages in the roles of movie and review pages.
+GIVEN_MOVIE = P.MOVIE | {
+    "title": Field(("article h1", "title")),
+    "distributor": Field(("title",)),
+    "starring": Field(("nav li a",), many=True),
+    "summary": Field((".ad",)),
+    "stream_link": Field(("nav li a@href",), many=True),
+    "scores": Group("nav li", P.SCORE | {"score": Field(("a",)), "link": Field(("a@href",))}),
+}
+GIVEN_CRITICS = P.CRITICS | {"movie_name": Field(("title",)), "reviews": Group("nav li", {"review_score": Field(("i",)), "review": Field(("a",))})}
+GIVEN_USERS = P.USERS | {
+    "movie_name": Field(("title",)),
+    "reviews": Group("nav li", {"reviewer_name": Field(("a@href",)), "review_score": Field(("i",)), "review": Field(("a",))}),
+}
+
+
+@query
+def page_records(t: Given) -> DataFrame:
+    titles = pages.extract(t.pages, {"title": GIVEN_MOVIE["title"]}).where(F.col("title").isNotNull())
+    ranks = titles.groupBy("title").agg(F.max("page_id").alias("rank"))
+    info = pages.movie_records(t.pages, ranks, GIVEN_MOVIE).select("info.*")
+    lists = (F.array_join(name, "|").alias(name) for name in ("starring", "stream_link"))
+    return info.select("id", "title", "distributor", "summary", "rating", *lists)
+
+
+@query
+def page_scores(t: Given) -> DataFrame:
+    rows = pages.page_scores(t.pages, GIVEN_MOVIE)
+    return rows.select("page_id", F.col("meta_score.score").alias("first"), F.col("user_score.score").alias("second"), F.col("meta_score.review_link").alias("link"))
+
+
+@query
+def page_reviews(t: Given) -> DataFrame:
+    feed = pages.review_feed(pages.critic_reviews(t.pages, GIVEN_CRITICS), pages.user_reviews(t.pages, GIVEN_USERS))
+    return feed.select("review_type", "movie_name", "reviewer_name", "review")
+
+
 @query
 def page_blocks(t: Given) -> DataFrame:
     blocks = t.pages.select("page_id", F.posexplode(P.every(F.col("html"), r"(?s)<p>(.*?)</p>")).alias("pos", "body"))

@@ -148,7 +148,27 @@ def test_frontier(spark, frame):
     assert sorted(r["abs_url"] for r in P.frontier(links, page).collect()) == [f"{SITE}/a", f"{SITE}/movie/c"]
 
 
-def test_blocks(spark):
-    df = spark.createDataFrame([("<b>no block",), ('x<div class="review pad_top1">1<div class="review pad_top1">2',)], "h string")
-    found = df.select(fields.blocks(F.col("h"), fields.USER_BLOCK).alias("b")).collect()
-    assert [r["b"] for r in found] == [[], ["1", "2"]]
+def test_blocks_end_with_their_nesting(frame):
+    page = """<div id="a" class="review first pad_top1 pad_btm1"><div><div class="summary"></div></div></div>
+    <div class="review pad_top1 pad_btm1" id=b><div class="metascore_w">70</div><div><a class="no_hover">Good &amp; long</a></div></div>
+    <footer><a class="no_hover" href="/x">About us</a></footer>"""
+    assert [(r["review_score"], r["review"]) for r in P.critic_reviews(frame(page)).collect()] == [("70", "Good & long")]
+
+
+def test_nested_sections_and_later_scores(frame):
+    page = """<div class="product_page_title"><h1>T</h1></div><div class="genres"><div><span>x<span>Drama</span></span></div><span><span>War</span></span></div>
+    <div class="distribution"><div class="metascore_w">40</div></div><p class="metascore_w">99</p>"""
+    row = P.movie_records(frame(page)).first()
+    assert row["info"]["genres"] == ["Drama", "War"] and row["meta_score"]["score"] == "40" and row["user_score"]["score"] is None
+
+
+def test_page_stored_twice(spark, frame):
+    ranks = spark.createDataFrame([("Bare", 5)], "title string, rank long")
+    twice = frame(BARE).unionAll(frame(BARE))
+    assert [r["info"]["id"] for r in P.movie_records(twice, ranks).collect()] == [5, 5]
+
+
+def test_frontier_without_fragments_and_other_schemes(spark):
+    links = spark.createDataFrame([("http://h.com/x#a",), ("http://h.com/x#top",), ("mailto:a@b.c",), ("javascript:void(0)",), ("https://h.com/y#z",)], "abs_url string")
+    fetched = spark.createDataFrame([("http://h.com/x#q",)], "url string")
+    assert [r["abs_url"] for r in P.frontier(links, fetched).collect()] == ["https://h.com/y"]

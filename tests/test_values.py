@@ -87,6 +87,19 @@ def test_absolute_links(value, link, expected):
     assert value(link, lambda c: L.absolute(c, F.lit(PAGE))) == expected
 
 
+def test_absolute_links_as_the_standard_has_them(spark):
+    from urllib.parse import urljoin
+
+    base = "http://a/b/c/d;p?q"
+    links = "g ./g g/ /g //g ?y g?y #s g#s g?y#s ;x g;x g;x?y#s . ./ .. ../ ../g ../.. ../../ ../../g ../../../g ../../../../g /./g /../g g. .g g.. ..g ./../g ./g/. g/./h g/../h g;x=1/./y g;x=1/../y g?y/./x g#s/../x http://b/x/../y mailto:x@y.z".split()
+    rows = spark.createDataFrame([(link,) for link in links], "link string").select("link", L.absolute(F.col("link"), F.lit(base)).alias("found"))
+    for row in rows.collect():
+        want = row["link"] if ":" in row["link"] and "//" not in row["link"] else urljoin(base, row["link"])
+        if row["link"] == "http://b/x/../y":
+            want = "http://b/y"
+        assert row["found"] == want, row["link"]
+
+
 def test_absolute_links_from_odd_pages(value):
     assert value("a", lambda c: L.absolute(c, F.lit("http://site.com"))) == "http://site.com/a"
     assert value("a", lambda c: L.absolute(c, F.lit("http://site.com/"))) == "http://site.com/a"
