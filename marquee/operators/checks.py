@@ -32,24 +32,30 @@ def out_of_range(df: DataFrame, column: str, kind: str) -> DataFrame:
     return df.where(F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull())
 
 
-def check_model(model: dict[str, DataFrame]) -> DataFrame:
-    """(check, table, columns, violations) over every key, reference and length of the model."""
-    found = []
+def table_violations(df: DataFrame, keys: list[str], limits: dict[str, int]) -> DataFrame:
+    """(check, columns, violations) of the primary key and the lengths of one table, in one pass.
+
+    Rows are combined per key, which counts repeated keys and adds up the long texts, then to one row.
+    """
+    long = [F.coalesce(F.count_if(F.length(column) > limit), F.lit(0)).alias(f"_long{at}") for at, (column, limit) in enumerate(limits.items())]
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"), *long)
+    sums = [F.coalesce(F.sum(f"_long{at}"), F.lit(0)).alias(f"_long{at}") for at in range(len(limits))]
+    totals = per_key.agg(F.count_if(F.col("_n") > 1).alias("_repeated"), *sums)
+    rows = [F.struct(F.lit("primary key").alias("check"), F.lit(",".join(keys)).alias("columns"), F.col("_repeated").alias("violations"))]
+    rows += [F.struct(F.lit("length").alias("check"), F.lit(column).alias("columns"), F.col(f"_long{at}").alias("violations")) for at, column in enumerate(limits)]
+    return totals.select(F.inline(F.array(*rows)))
 
-    def add(check: str, table: str, columns: str, violations: DataFrame) -> None:
-        found.append(
-            violations.agg(F.count("*").alias("violations")).select(
-                F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(columns).alias("columns"), "violations"
-            )
-        )
 
-    for table, keys in PRIMARY_KEYS.items():
-        add("primary key", table, ",".join(keys), duplicate_keys(model[table], keys))
+def check_model(model: dict[str, DataFrame]) -> DataFrame:
+    """(check, table, columns, violations) over every key, reference and length of the model."""
+    columns = ["check", "table", "columns", "violations"]
+    found = [
+        table_violations(model[table], keys, MAX_LENGTHS.get(table, {})).withColumn("table", F.lit(table)).select(*columns)
+        for table, keys in PRIMARY_KEYS.items()
+    ]
     for child, key, parent in FOREIGN_KEYS:
-        add("foreign key", child, key, orphans(model[child], model[parent], key))
-    for table, limits in MAX_LENGTHS.items():
-        for column, limit in limits.items():
-            add("length", table, column, too_long(model[table], column, limit))
+        counted = orphans(model[child], model[parent], key).agg(F.count("*").alias("violations"))
+        found.append(counted.select(F.lit("foreign key").alias("check"), F.lit(child).alias("table"), F.lit(key).alias("columns"), "violations"))
     result = found[0]
     for part in found[1:]:
         result = result.unionByName(part)

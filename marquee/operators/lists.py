@@ -2,36 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import MISSING
-from .numbering import number_rows
-from .skew import skew_join
+from .skew import hot_counts, skew_join
 
 PAGE = 1000
 
 
+def _sign(value: Column, kind: str) -> Column:
+    """A number that rises with the value: a number itself, or a text's first seven bytes."""
+    if kind != "string":
+        return F.coalesce(value.cast("long"), F.lit(0).cast("long"))
+    bytes_ = F.substring(F.encode(F.coalesce(value, F.lit("")), "UTF-8"), 1, 7)
+    return F.conv(F.rpad(F.hex(bytes_), 14, "0"), 16, 10).cast("long")
+
+
 def paged(entries: DataFrame, group: list[str], order: list[str], limit: int = PAGE) -> DataFrame:
-    """Add ``page`` so that a (group, page) pair holds at most ``limit`` entries.
+    """Add ``page`` so that a (group, page) pair holds at most ``limit`` entries, in ``order``.
 
-    The size of every group is counted first (a partial aggregate, one row per group and task). When all
-    are within the limit, as lists of names are, every entry is on page 0. Otherwise the entries are
-    numbered by one range sort, which splits a wide group over many tasks, and cut into pages. ``order``
-    must be total within a group.
+    Every group's size is joined back, lazily. A group within the limit is one part; a larger one is cut by
+    the first order column into as many parts of equal width as it has pages, rows are ranked within their part,
+    and the sizes of the earlier parts are added. No part of the plan depends on the data, and no task ranks a
+    whole wide group unless its first order values are all alike. ``order`` must be total within a group.
     """
-    if entries.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > limit).isEmpty():
-        return entries.withColumn("page", F.lit(0).cast("long"))
-    numbered = number_rows(entries, "_at", [*group, *order])
-    first = numbered.groupBy(*group).agg(F.min("_at").alias("_first"))
-    placed = skew_join(numbered, first, group, spread=["_at"])
-    return placed.withColumn("page", F.floor((F.col("_at") - F.col("_first")) / limit)).drop("_at", "_first")
+    numbered = entries.withColumn("_sign", _sign(F.col(order[0]), dict(entries.dtypes)[order[0]]))
+    sizes = numbered.groupBy(*group).agg(F.count("*").alias("_n"), F.min("_sign").alias("_least"), F.max("_sign").alias("_most"))
+    sized = skew_join(numbered, sizes, group, spread=order, hot=hot_counts(sizes, group, "_n"))
+    width = (F.col("_most") - F.col("_least") + 1).cast("double")
+    part = F.floor((F.col("_sign") - F.col("_least")) / width * F.ceil(F.col("_n") / limit))
+    parted = sized.withColumn("_part", F.when(F.col("_n") <= limit, F.lit(0)).otherwise(part).cast("long"))
+    counts = parted.where(F.col("_n") > limit).groupBy(*group, "_part").agg(F.count("*").alias("_size"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*group, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order)) - 1
+    placed = parted.withColumn("_rank", rank).join(before, [*group, "_part"], "left")
+    page = F.floor((F.coalesce("_before", F.lit(0)) + F.col("_rank")) / limit)
+    return placed.withColumn("page", page).select(*entries.columns, "page")
 
 
-def sorted_list(order: str, value: Column) -> Column:
+def sorted_list(order: list[str], value: Column) -> Column:
     """The values of a group as an array in ``order``; only for groups made by :func:`paged`."""
-    pairs = F.collect_list(F.when(value.isNotNull(), F.struct(F.col(order).alias("at"), value.alias("value"))))
-    return F.transform(F.array_sort(pairs), lambda pair: pair["value"])
+    pairs = F.collect_list(F.when(value.isNotNull(), F.struct(*order, value.alias("_value"))))
+    return F.transform(F.array_sort(pairs), lambda pair: pair["_value"])
 
 
 def joined_names(names: Column) -> Column:
@@ -44,12 +58,12 @@ def names_per_item(
 ) -> DataFrame:
     """(item, page, names): each item's names ascending and comma-separated, ``N/A`` when it has none.
 
-    ``key`` must rise with the name, as the model's keys do. An item with more than ``limit`` names goes
-    on over further pages. The names are broadcast when they measure small; otherwise a name of very many
-    items is split as a skewed partition.
+    An item with more than ``limit`` names goes on over further pages. The names are broadcast when they
+    measure small; otherwise a name of very many items is split as a skewed partition.
     """
-    named = paged(bridge.select(item, key), [item], [key], limit).join(dim.select(key, name), key)
-    lists = named.groupBy(item, "page").agg(sorted_list(key, F.col(name)).alias("_names"))
+    order = ["_low", name, key]
+    named = bridge.select(item, key).join(dim.select(key, name), key).withColumn("_low", F.lower(name))
+    lists = paged(named, [item], order, limit).groupBy(item, "page").agg(sorted_list(order, F.col(name)).alias("_names"))
     return (
         items.select(item)
         .join(lists, item, "left")

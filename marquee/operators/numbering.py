@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,24 +12,34 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its parti
 
 
 def number_in_order(df: DataFrame, name: str, start: int = 1) -> DataFrame:
-    """Number the rows densely in their present partition and row order.
+    """Number the rows densely in file order: files by path, rows by their place in the file.
 
-    Each row gets its partition and place there, the result is materialised once so that both are
-    settled, and the row counts of the earlier partitions are added. Nothing is sorted or shuffled; the
-    only broadcast has one row per partition.
+    ``df`` comes straight from files, through filters and projections only. The row counts of the splits are
+    added up in the order of their place; nothing else is sorted, shuffled or written, and other splits of the same
+    files give the same numbers. The join has one row per split and is left to the optimiser. Rows that
+    come from no file are settled and numbered in their present order.
     """
+    try:
+        located = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+        placed = located.withColumn("_place", F.monotonically_increasing_id())
+    except AnalysisException:
+        placed = _settled(df)
+    return _numbered(placed, name, start)
+
+
+def _numbered(placed: DataFrame, name: str, start: int) -> DataFrame:
+    split = ["_file", "_block"]
+    sizes = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count("*").alias("_size"))
+    earlier = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + F.lit(start)
+    offsets = sizes.select(*split, offset.alias("_offset"))
+    return placed.join(offsets, split).withColumn(name, F.col("_offset") + F.col("_place")).drop(*split, "_place", "_offset")
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` with its partitions and row order fixed; a partition stands for a split."""
     placed = materialise(df.withColumn("_place", F.monotonically_increasing_id()))
-    part = F.shiftright("_place", _ROW_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    place = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + place + F.lit(start))
-        .drop("_part", "_place", "_offset")
-    )
+    return placed.withColumns({"_file": F.lit(""), "_block": F.shiftright("_place", _ROW_BITS)})
 
 
 def number_rows(df: DataFrame, name: str, order: list[Column | str], start: int = 1) -> DataFrame:
@@ -39,7 +50,7 @@ def number_rows(df: DataFrame, name: str, order: list[Column | str], start: int
     """
     keys = [F.col(key) if isinstance(key, str) else key for key in order]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return number_in_order(ranged, name, start)
+    return _numbered(_settled(ranged), name, start)
 
 
 def keys_by_name(names: DataFrame, key: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions.links import link_host
 from ..functions.sentiment import label
 from ..operators.lists import PAGE, paged
 from ..operators.similar import similar_to, similar_top
-from .search import name_lists, with_names
+from .search import SHOWN, display_labels, name_lists, with_names
 
 SIMILAR_SHOWN = 5
 REVIEW_PAGE = 100  # reviews are long texts, so fewer of them go into one document
@@ -47,15 +47,24 @@ def review_entries(model: dict[str, DataFrame], links: DataFrame | None = None)
     return (review_links(model) if links is None else links).join(bodies, ["kind", "id"])
 
 
-def similar_titles(model: dict[str, DataFrame], count: int = SIMILAR_SHOWN, movie_id: int | None = None) -> DataFrame:
-    """(movie_id, similar): up to ``count`` most similar movies by genre, best first, per movie or for one."""
+def similar_titles(
+    model: dict[str, DataFrame], count: int = SIMILAR_SHOWN, movie_id: int | None = None, same_title: bool = True
+) -> DataFrame:
+    """(movie_id, similar): up to ``count`` most similar movies by genre, best first, per movie or for one.
+
+    For one movie, others with its title can be left out with ``same_title=False``.
+    """
     tagged = model["movie_genre"].join(model["genres"], "genre_id")
     tags = tagged.groupBy("movie_id").agg(F.collect_list("genre_type").alias("tags"))
     items = model["movies"].select("movie_id").join(tags, "movie_id", "left")
     if movie_id is None:
         best = similar_top(items, "movie_id", count=count)
     else:
-        best = similar_to(items, "movie_id", F.col("movie_id") == movie_id, count=count)
+        exclude = None
+        if not same_title:
+            items = items.join(model["movies"].select("movie_id", "title"), "movie_id")
+            exclude = F.col("title") == items.where(F.col("movie_id") == movie_id).select("title").scalar()
+        best = similar_to(items, "movie_id", F.col("movie_id") == movie_id, count=count, exclude=exclude)
         best = best.withColumn("movie_id", F.lit(movie_id).cast("long"))
     named = best.join(model["movies"].select(F.col("movie_id").alias("other"), "title", "image"), "other")
     entry = F.struct("rk", F.col("other").alias("movie_id"), "title", "image")
@@ -68,6 +77,8 @@ def detail(
     count: int = SIMILAR_SHOWN,
     limit: int = PAGE,
     review_limit: int = REVIEW_PAGE,
+    same_title: bool = True,
+    labels: bool = False,
 ) -> DataFrame:
     """One nested document per movie, or for one movie.
 
@@ -95,4 +106,5 @@ def detail(
     for part in (links, reviews):
         pages = pages.join(part, ["movie_id", "page"], "full")
     documents = with_names(movies, pages)
-    return documents.join(similar_titles(model, count, movie_id), "movie_id", "left")
+    found = documents.join(similar_titles(model, count, movie_id, same_title), "movie_id", "left")
+    return display_labels(found, SHOWN) if labels else found

@@ -11,7 +11,6 @@ from ..operators.numbering import keys_by_name, number_in_order
 from ..operators.pages import CRITIC, USER
 from ..operators.skew import skew_join
 from ..operators.stats import table_counts
-from ..session import materialise
 
 # (list field, dimension table, key, name column, bridge table)
 DIMENSIONS = [
@@ -49,8 +48,9 @@ def dimension(lists: DataFrame, item: str, values: str, key: str, name: str) ->
 def build_model(records: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]:
     """Twelve tables by name, plus ``unmatched``: reviews whose title and date are in no movie.
 
-    Reviews are numbered in file order, per kind; the numbered rows and the review-movie links are
-    materialised because several tables are cut from them. The texts themselves are never shuffled.
+    Reviews keep their ``review_id`` when they have one, else they are numbered in file order, per kind. The
+    texts are read once, when their table is written: they are not shuffled, and matching reads the key, title and
+    date alone. Movies come first by file order.
     """
     model = {"movies": movies_table(records)}
     for field, table, key, name, bridge in DIMENSIONS:
@@ -60,8 +60,11 @@ def build_model(records: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]:
         F.col("info.id").alias("movie_id"), F.explode(F.array_distinct("info.stream_link")).alias("url")
     )
 
-    users = number_in_order(cleaned.where(F.col("review_type") == USER), "review_id")
-    critics = number_in_order(cleaned.where(F.col("review_type") == CRITIC), "critic_id")
+    users, critics = (cleaned.where(F.col("review_type") == kind) for kind in (USER, CRITIC))
+    if "review_id" in cleaned.columns:
+        critics = critics.withColumnRenamed("review_id", "critic_id")
+    else:
+        users, critics = number_in_order(users, "review_id"), number_in_order(critics, "critic_id")
     score, polarity = F.col("review_score"), F.col("sentiment_score").try_cast("decimal(4,3)").alias("polarity")
     model["user_reviews"] = users.select(
         "review_id",
@@ -89,7 +92,7 @@ def build_model(records: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]:
 
     wanted = to_match(users, USER, "review_id").unionByName(to_match(critics, CRITIC, "critic_id"))
     catalog = model["movies"].select("movie_id", "title", F.col("release_date").alias("date"))
-    links = materialise(match_reviews(wanted, number_in_order(catalog, "position"), ["kind", "id"]))
+    links = match_reviews(wanted, number_in_order(catalog, "position"), ["kind", "id"])
     found = links.where(F.col("movie_id").isNotNull())
     model["reviews"] = found.where(F.col("kind") == USER).select("movie_id", F.col("id").alias("review_id"))
     model["critique"] = found.where(F.col("kind") == CRITIC).select("movie_id", F.col("id").alias("critic_id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,9 @@ SEARCHED_DIMENSIONS = {
 }
 ORDERS = {"release_date": "release_date", "metacritic_score": "m_c_score", "user_score": "m_u_score"}
 
+# Attributes that are shown with a label when they are missing.
+SHOWN = ["release_date", "distributor", "ratings", "runtime", "m_c_score", "m_u_score", "summary"]
+
 # (list name, dimension, bridge, key, name column)
 LISTS = [(field, *SEARCHED_DIMENSIONS[field]) for field in ("director", "actor", "genre")]
 
@@ -34,7 +39,7 @@ def checked_keyword(keyword: str | None) -> str:
     """The keyword in lower case; ValueError when it is empty or has fewer than two letters or digits."""
     if not keyword:
         raise ValueError(NO_KEYWORD)
-    if len([char for char in keyword if char.isascii() and char.isalnum()]) < 2:
+    if not re.search(KEYWORD, keyword):
         raise ValueError(BAD_KEYWORD)
     return keyword.lower()
 
@@ -72,9 +77,10 @@ def name_lists(model: dict[str, DataFrame], movies: DataFrame | None = None, lim
         entries = mine if entries is None else entries.unionByName(mine)
         known = model[dim].select(F.lit(field).alias("list"), F.col(key).alias("key"), F.col(name).alias("name"))
         names = known if names is None else names.unionByName(known)
-    named = paged(entries, ["movie_id", "list"], ["key"], limit).join(names, ["list", "key"])
-    return named.groupBy("movie_id", "page").agg(
-        *[sorted_list("key", F.when(F.col("list") == field, F.col("name"))).alias(f"{field}s") for field, *_ in LISTS]
+    order = ["low", "name", "key"]
+    named = entries.join(names, ["list", "key"]).withColumn("low", F.lower("name"))
+    return paged(named, ["movie_id", "list"], order, limit).groupBy("movie_id", "page").agg(
+        *[sorted_list(order, F.when(F.col("list") == field, F.col("name"))).alias(f"{field}s") for field, *_ in LISTS]
     )
 
 
@@ -102,10 +108,12 @@ def search(
     order_by: str = "release_date",
     limit: int = PAGE,
     ignore_accents: bool = False,
+    labels: bool = False,
 ) -> DataFrame:
-    """Matching movies with number and name lists."""
+    """Matching movies with number and name lists; with ``labels`` the attributes as text, ``N/A`` where missing."""
     hits = ordered(found_movies(model, field, keyword, ignore_accents), order_by)
-    return with_names(hits, name_lists(model, hits, limit))
+    rows = with_names(hits, name_lists(model, hits, limit))
+    return display_labels(rows, SHOWN) if labels else rows
 
 
 def display_labels(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job should start with; everything else stays at Spark's defaults.
@@ -19,6 +17,9 @@ SETTINGS = {
 }
 
 
+LOCAL_FOLDER = "file:///tmp/checkpoints"
+
+
 def session(app: str = "marquee", master: str | None = None, **extra: str) -> SparkSession:
     """A session with :data:`SETTINGS`; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -36,14 +37,14 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Needed where a value depends on the physical row order (numbering) and must come out the same
     when the plan is read twice or an executor is lost. The folder is the session's
-    ``spark.checkpoint.dir``; only a local session without one gets a temporary folder.
+    ``spark.checkpoint.dir``; a cluster without one gets an error, a local session :data:`LOCAL_FOLDER`.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="marquee-checkpoint-")
+            folder = LOCAL_FOLDER
         context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -12,33 +12,22 @@ from ..schemas import CATALOG_EITHER, CLEANED, INFO, PAGES, REVIEWS, TABLES
 TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True}
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows over the cores by a key when the files give fewer splits than there are cores.
-
-    For small inputs in one row group that are about to go through costly per-row expressions or to be
-    grouped by the key anyway. A large input has more splits than cores and comes back as it is, with no
-    exchange, so a hot key does no harm.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _json(spark: SparkSession, path: str, schema: T.StructType, one_array: bool) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=one_array)
 
 
-def read_catalog(spark: SparkSession, path: str, one_array: bool = True) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, one_array: bool = False) -> DataFrame:
     """Movie records, nested or flat on disk, as nested rows.
 
-    ``one_array`` reads a file that is a single JSON array, which one task must take whole; JSON Lines
-    (``one_array=False``) or :func:`read_tables` are the forms to use on large data.
+    JSON Lines are read in splits. ``one_array`` reads files that are a single JSON array each, which one task
+    must take whole; use it for such files only.
     """
     records = _json(spark, path, CATALOG_EITHER, one_array)
     flat = F.struct(*[F.col(name) for name in INFO.names])
     return records.select(F.coalesce("info", flat).alias("info"), "meta_score", "user_score")
 
 
-def read_reviews(spark: SparkSession, path: str, one_array: bool = True) -> DataFrame:
+def read_reviews(spark: SparkSession, path: str, one_array: bool = False) -> DataFrame:
     return _json(spark, path, REVIEWS, one_array)
 
 

@@ -73,7 +73,8 @@ movies AS (
 actors AS (SELECT s_suppkey AS actor_id, s_name AS name FROM supplier),
 directors AS (SELECT s_suppkey AS director_id, s_name AS name FROM supplier),
 plays_in AS (SELECT DISTINCT l_partkey AS movie_id, l_suppkey AS actor_id FROM lineitem),
-directed AS (SELECT DISTINCT l_partkey AS movie_id, l_suppkey AS director_id FROM lineitem WHERE l_returnflag = 'R'),
+directed AS (SELECT DISTINCT movie_id, director_id FROM (
+  SELECT l_partkey AS movie_id, min(l_suppkey) AS director_id FROM lineitem GROUP BY l_partkey, l_returnflag)),
 part_tags AS (SELECT p_partkey AS movie_id, unnest(string_split(p_name, ' ')) AS genre_type FROM part),
 genres AS (
   SELECT DISTINCT dense_rank() OVER (ORDER BY lower(genre_type), genre_type) AS genre_id, genre_type FROM part_tags),
@@ -100,7 +101,7 @@ records AS (
 cleaned AS (
   SELECT doc_id, source || ' ' || doc_id AS reviewer_name, text, CASE WHEN lang = 'es' THEN 'Otra ' || title ELSE title END AS title,
     CASE WHEN lang <> 'fr' THEN date END AS date, doc_id IN (SELECT doc_id FROM labels) AS critic
-  FROM documents JOIN records ON id = doc_id),
+  FROM documents LEFT JOIN records ON id = doc_id),
 linked AS (
   SELECT c.*, (SELECT min(id) FROM records r WHERE r.title = c.title AND (c.date IS NULL OR r.date = c.date)) AS movie_id
   FROM cleaned c)"""
@@ -236,9 +237,9 @@ ORACLE: dict[str, str] = {
     "parse_minutes": """SELECT p_partkey, TRY_CAST(split_part(CASE WHEN p_size % 5 <> 0 THEN p_size || ' min' END, ' ', 1) AS INTEGER)
       AS minutes FROM part""",
     "host_of_url": "SELECT page_id, split_part(url, '/', 3) AS host FROM pages",
-    "na_labels": f"""SELECT p_partkey, coalesce(nullif(p_brand, 'Brand#1'), {_quoted(MISSING)}) AS brand,
+    "na_labels": f"""SELECT p_partkey, coalesce(nullif(p_brand, 'Brand#12'), {_quoted(MISSING)}) AS brand,
         coalesce(s_name, {_quoted(MISSING)}) AS supplier
-      FROM part LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS s FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) ON l_partkey = p_partkey
+      FROM part LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS s FROM lineitem GROUP BY 1) ON l_partkey = p_partkey
       LEFT JOIN supplier ON s_suppkey = s""",
     "tag_normalise": "SELECT p_partkey AS id, replace(replace(p_name, 'small', 'SciFi'), 'red', 'Noir') AS tag FROM part",
     "json_fields": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
@@ -328,6 +329,16 @@ ORACLE: dict[str, str] = {
     "image_links": f"""WITH {MODEL}
       SELECT min(movie_id) AS movie_id, arg_min(image, movie_id) AS image FROM movies GROUP BY title""",
     "id_title_lookup": "SELECT p_name AS title, min(p_partkey) AS first_id FROM part GROUP BY p_name",
+    "title_of_id": "SELECT doc_id AS movie_id, p_name AS title FROM documents LEFT JOIN part ON p_partkey = doc_id",
+    "title_positions": """WITH placed AS (SELECT p_name, file_row_number AS i FROM (
+        SELECT p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS file_row_number FROM part))
+      SELECT p_name AS title, min(i) AS index, p_name AS found FROM placed GROUP BY p_name""",
+    "links_of_movies": "SELECT page_id AS movie_id, url, split_part(url, '/', 3) AS host FROM pages",
+    "clean_feed": f"""WITH {SENTIMENT}, {RECORDS}
+      SELECT CAST(c.doc_id AS VARCHAR) AS reviewer_name, c.title AS movie_name, CASE WHEN lang <> 'fr' AND c.title IS NOT NULL THEN coalesce(strftime(c.date, '%B %-d, %Y'), 'TBA') END AS release_date,
+        {REVIEW_TYPE.replace("doc_id IN", "c.doc_id IN")} AS review_type, CAST(n_chars % 10 AS VARCHAR) AS review_score,
+        array_to_string(list_filter({TOKENS.replace("text", "scored.text")}, lambda w: w NOT IN {STOP}), ' ') AS review_clean, polarity AS sentiment_score
+      FROM cleaned c JOIN scored ON scored.doc_id = c.doc_id""",
     "keyword_check": f"SELECT conv_id, turn, regexp_matches(text, {_quoted(KEYWORD)}) AS ok FROM conversations",
     **{f"search_{field}": _search(field) for field in SEARCHED},
     "search_order": f"WITH {MODEL} " + " UNION ALL ".join(

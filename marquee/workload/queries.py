@@ -17,8 +17,8 @@ from ..functions.sentiment import label, polarity
 from ..operators import checks, lists, matching, numbering, pages, similar, stats
 from ..plans import detail, lookup, search
 from ..plans.model import build_model, model_summary, movies_table
-from ..plans.reviews import distinct_values
-from ..sources.readers import flatten, json_field, spread
+from ..plans.reviews import clean_reviews, distinct_values
+from ..sources.readers import flatten, json_field
 from . import tables as A
 from .tables import Given, GivenModel
 
@@ -141,7 +141,7 @@ def na_labels(t: Given) -> DataFrame:
     first = GivenModel(t)["directed"].groupBy("movie_id").agg(F.min("director_id").alias("s_suppkey"))
     named = first.join(t.supplier.select("s_suppkey", F.col("s_name").alias("supplier")), "s_suppkey", "left")
     rows = t.part.join(named.withColumnRenamed("movie_id", "p_partkey"), "p_partkey", "left")
-    rows = rows.select("p_partkey", F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("brand"), "supplier")
+    rows = rows.select("p_partkey", F.nullif(F.col("p_brand"), F.lit("Brand#12")).alias("brand"), "supplier")
     return search.display_labels(rows, ["brand", "supplier"])
 
 
@@ -233,7 +233,7 @@ def _orders_as_catalog(orders: DataFrame) -> DataFrame:
 
 
 def _lines_as_reviews(t: Given) -> DataFrame:
-    lines = spread(t.lineitem.select("l_orderkey", "l_linenumber"), "l_orderkey").distinct()
+    lines = t.lineitem.select("l_orderkey", "l_linenumber").distinct()
     orders = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("title"),
@@ -250,21 +250,23 @@ def match_review(t: Given) -> DataFrame:
 
 @query
 def match_unmatched(t: Given) -> DataFrame:
-    finished = _orders_as_catalog(t.orders.where(F.col("o_orderstatus") == "F"))
-    matched = matching.match_reviews(_lines_as_reviews(t), finished, ["l_orderkey", "l_linenumber"])
+    title = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).otherwise(-1 - F.col("o_custkey"))
+    renamed = _orders_as_catalog(t.orders.withColumn("o_custkey", title))
+    matched = matching.match_reviews(_lines_as_reviews(t), renamed, ["l_orderkey", "l_linenumber"])
     return matched.where(F.col("movie_id").isNull()).select("l_orderkey", "l_linenumber")
 
 
 @query
 def rank_lookup(t: Given) -> DataFrame:
-    ranks = t.part.where(F.col("p_type") == "PROMO").groupBy(F.col("p_name").alias("title")).agg(F.max("p_partkey").alias("rank"))
+    listed = F.when(F.col("p_type") == "PROMO", F.col("p_name")).otherwise(F.concat("p_name", F.lit(" II")))
+    ranks = t.part.groupBy(listed.alias("title")).agg(F.max("p_partkey").alias("rank"))
     movies = t.part.select("p_partkey", F.col("p_name").alias("title"))
     return matching.assign_ranks(movies, ranks, "p_partkey").select("p_partkey", "rank")
 
 
 @query
 def star_schema(t: Given) -> DataFrame:
-    """Every bridge of the built model with names in place of keys."""
+    """Every bridge of the built model with names in place of keys; reviews of no movie are in no bridge."""
     model = build_model(A.records(t), A.cleaned(t))
     rows = []
     for name, dim, link, key, column in search.LISTS:
@@ -372,6 +374,34 @@ def id_title_lookup(t: Given) -> DataFrame:
     return lookup.id_of_title(GivenModel(t)["movies"]).select("title", F.col("movie_id").alias("first_id"))
 
 
+@query
+def title_of_id(t: Given) -> DataFrame:
+    """Titles of the parts that documents ask for by number, NULL where there is no such part."""
+    asked = t.documents.select(F.col("doc_id").alias("movie_id"))
+    return asked.join(GivenModel(t)["movies"].select("movie_id", "title"), "movie_id", "left")
+
+
+@query
+def title_positions(t: Given) -> DataFrame:
+    """Every title with its first place in the catalogue, and the title found at that place."""
+    placed = lookup.positions(t.part.select(F.col("p_partkey").alias("movie_id"), F.col("p_name").alias("title")))
+    first = placed.groupBy("title").agg(F.min("index").alias("index"))
+    return first.join(placed.select("index", F.col("title").alias("found")), "index").select("title", "index", "found")
+
+
+@query
+def links_of_movies(t: Given) -> DataFrame:
+    links = GivenModel(t)["stream_links"]
+    return links.select("movie_id", "url", L.link_host(F.col("url")).alias("host"))
+
+
+@query
+def clean_feed(t: Given) -> DataFrame:
+    feed = A.cleaned(t).select("review_id", *(c for c in ("release_date", "movie_name", "review_type", "reviewer_name", "review_score", "review")))
+    cleaned = clean_reviews(feed.withColumn("reviewer_name", F.col("review_id").cast("string")))
+    return cleaned.select("reviewer_name", "movie_name", "release_date", "review_type", "review_score", "review_clean", "sentiment_score")
+
+
 # Search
 
 

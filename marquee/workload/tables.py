@@ -11,12 +11,6 @@ from ..functions import values as V
 from ..functions.sentiment import polarity
 from ..operators.pages import CRITIC, USER
 from ..plans.model import dimension
-from ..session import materialise
-from ..sources.readers import spread
-
-
-# Tables whose text goes through per-row expressions, with their unique key.
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
 
 class Given:
     """Reads the tables of one scale folder, each set up once."""
@@ -28,7 +22,6 @@ class Given:
         if table.startswith("_"):
             raise AttributeError(table)
         rows = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
-        rows = spread(rows, TEXT_KEYS[table]) if table in TEXT_KEYS else rows
         setattr(self, table, rows)
         return rows
 
@@ -93,10 +86,14 @@ def _people(given: Given, key: str) -> DataFrame:
     return given.supplier.select(F.col("s_suppkey").alias(key), F.col("s_name").alias("name"))
 
 
-def _cast(given: Given, key: str, rows: Column | None = None) -> DataFrame:
-    lines = given.lineitem if rows is None else given.lineitem.where(rows)
-    pairs = lines.select(F.col("l_partkey").alias("movie_id"), F.col("l_suppkey").alias(key))
-    return spread(pairs, "movie_id").distinct()
+def _cast(given: Given, key: str) -> DataFrame:
+    return given.lineitem.select(F.col("l_partkey").alias("movie_id"), F.col("l_suppkey").alias(key)).distinct()
+
+
+def _crew(given: Given, key: str) -> DataFrame:
+    """The first supplier of a part for each return flag."""
+    first = given.lineitem.groupBy(F.col("l_partkey").alias("movie_id"), "l_returnflag").agg(F.min("l_suppkey").alias(key))
+    return first.select("movie_id", key).distinct()
 
 
 def _reviews(given: Given, kind: str) -> DataFrame:
@@ -108,7 +105,7 @@ BUILDERS: dict[str, Callable[[Given], DataFrame]] = {
     "actors": lambda given: _people(given, "actor_id"),
     "directors": lambda given: _people(given, "director_id"),
     "plays_in": lambda given: _cast(given, "actor_id"),
-    "directed": lambda given: _cast(given, "director_id", F.col("l_returnflag") == "R"),
+    "directed": lambda given: _crew(given, "director_id"),
     "stream_links": lambda given: given.pages.select(F.col("page_id").alias("movie_id"), "url"),
     "critic_reviews": lambda given: _reviews(given, CRITIC).select(
         F.col("doc_id").alias("critic_id"),
@@ -144,8 +141,7 @@ class GivenModel(dict):
     def __missing__(self, table: str) -> DataFrame:
         if table in ("genres", "movie_genre"):
             lists = self.given.part.select(F.col("p_partkey").alias("movie_id"), tags_of(F.col("p_name")).alias("values"))
-            self["genres"], links = dimension(lists, "movie_id", "values", "genre_id", "genre_type")
-            self["movie_genre"] = materialise(links)
+            self["genres"], self["movie_genre"] = dimension(lists, "movie_id", "values", "genre_id", "genre_type")
         else:
             self[table] = BUILDERS[table](self.given)
         return self[table]
@@ -180,10 +176,11 @@ def records(given: Given) -> DataFrame:
 
 
 def cleaned(given: Given) -> DataFrame:
-    """Documents as cleaned reviews of the part with their key, some undated, some under an unknown title."""
+    """Documents as cleaned reviews of the part with their key, some undated, some under an unknown title or none."""
     parts = records(given).select(F.col("info.id").alias("doc_id"), "info.title", "info.date")
     title = F.when(F.col("lang") == "es", F.concat(F.lit("Otra "), F.col("title"))).otherwise(F.col("title"))
-    return review_type(given).join(parts, "doc_id").select(
+    return review_type(given).join(parts, "doc_id", "left").select(
+        F.col("doc_id").alias("review_id"),
         F.when(F.col("lang") != "fr", F.col("date")).alias("release_date"),
         title.alias("movie_name"),
         "review_type",

@@ -74,6 +74,45 @@ def test_number_in_order_keeps_file_order(spark, tmp_path):
     assert rows_of(numbered) == rows_of(numbered)
 
 
+def test_file_order_does_not_depend_on_sizes_or_splits(spark, tmp_path):
+    ends = [0, 10, 1_010, 101_010]
+    for at, (start, end) in enumerate(zip(ends, ends[1:])):
+        spark.range(start, end).selectExpr("id", "repeat(cast(id as string), 8) AS pad").coalesce(1).write.parquet(str(tmp_path / f"part={at}"))
+    paths = [str(tmp_path / f"part={at}") for at in range(3)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("64k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            numbered = numbering.number_in_order(spark.read.parquet(*paths).where("id >= 0").select("id"), "n")
+            assert numbered.where("n <> id + 1").isEmpty() and numbered.count() == ends[-1]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lists_follow_names_and_pages_are_lazy(spark):
+    from marquee.operators import lists
+
+    dim = spark.createDataFrame([(1, "Zed"), (2, "Ann"), (3, "bob"), (4, "Cy")], "k long, name string")
+    bridge = spark.createDataFrame([(7, k) for k in (1, 2, 3, 4)] + [(8, 1)], "item long, k long")
+    items = spark.createDataFrame([(7,), (8,), (9,)], "item long")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "building a plan")
+    found = lists.names_per_item(items, bridge, dim, "item", "k", "name", limit=3)
+    assert len(jobs.getJobIdsForGroup("lazy")) == 0
+    spark.sparkContext.setJobGroup("run", "running it")
+    assert rows_of(found) == [(7, 0, "Ann,bob,Cy"), (7, 1, "Zed"), (8, 0, "Zed"), (9, 0, "N/A")]
+
+
+def test_model_checks_scan_each_table_once(spark, tmp_path):
+    from marquee.operators.checks import table_violations
+
+    rows = [(1, "a" * 70, "x"), (1, "b", "y" * 9), (2, None, None)]
+    spark.createDataFrame(rows, "k long, name string, note string").write.parquet(str(tmp_path / "t"))
+    found = table_violations(spark.read.parquet(str(tmp_path / "t")), ["k"], {"name": 64, "note": 8})
+    assert rows_of(found) == [("length", "name", 1), ("length", "note", 1), ("primary key", "k", 1)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_numbers_of_equal_rows(spark):
     df = spark.createDataFrame([("a",)] * 40, "x string").repartition(5)
     assert sorted(row["n"] for row in numbering.number_rows(df, "n", ["x"]).collect()) == list(range(1, 41))
