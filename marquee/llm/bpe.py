@@ -8,8 +8,8 @@ part on another (same id, same characters, nothing else on these characters). A
 encoding of its text exactly if every two neighbours are, and each pair now stands inside one encoding, so the
 result is the encoding of the whole. A window that covers both parts is the result itself.
 
-Inside a batch, texts are cut at blanks, which this kind of tokenizer drops, and each distinct word is encoded
-once and remembered (a bounded number of words per worker).
+Texts are cut at blanks, which this kind of tokenizer drops, and each distinct word is encoded once and
+remembered (a bounded number of words per worker).
 
 Defined results: a NULL text counts as empty and gives no tokens; repeated rows each get the whole answer; an
 empty table gives an empty result; other columns are ignored. The tokenizer's file is read on each executor
@@ -19,10 +19,12 @@ from ``path``.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,10 +35,11 @@ from .common import whole
 LONGEST = 32_768
 WINDOW = 64
 REMEMBERED = 250_000
-AT_ONCE = 512
+AT_ONCE = 256
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 _ROWS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 _BLANKS = str.maketrans("\n\t\r", "   ")
+_WORD = re.compile(r"[^ \n\t\r]+")
 
 
 @lru_cache(maxsize=2)
@@ -56,23 +59,68 @@ def names(path: str) -> list[str]:
     return [found.id_to_token(number) for number in range(found.get_vocab_size(with_added_tokens=True))]
 
 
-class Words:
-    """Ids of words, remembered up to a bound."""
+def _signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: printable ones themselves, the others from
+    256 on in order."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [byte for byte in range(256) if byte not in own]
+    return {byte: chr(256 + place) for place, byte in enumerate(others)}
+
+
+_SIGNS = _signs()
+_LATIN_END = "\u0250"
+
+
+class Words(dict):
+    """Ids of words, remembered up to a bound.
+
+    A word of Latin letters, with one full stop or comma at most, is one pre-token (or two), which the
+    tokenizer's model encodes by itself; any other word goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = tokenizer(path), {"": ()}
+        super().__init__()
+        self.tokenizer, self.names = tokenizer(path), names(path)
+        self.model, self[""] = self.tokenizer.model, ()
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+            self[""] = ()
+        stop = word[-1] if word[-1] in ".," else ""
+        core = unicodedata.normalize("NFC", word[: -1 if stop else None])
+        low = core.lower()
+        if low.isalpha() and max(core) < _LATIN_END and max(low) < _LATIN_END:
+            plain = low if low.isascii() else low.encode().decode("latin-1").translate(_SIGNS)
+            ids = tuple(token.id for token in self.model.tokenize(plain)) + (self.whole(stop) if stop else ())
+        else:
+            ids = self.whole(word)
+        self[word] = ids
+        return ids
+
+    def whole(self, text: str) -> tuple[int, ...]:
+        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [text.translate(_BLANKS).split(" ") for text in texts]
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": ()}
-            new = list(set(chain.from_iterable(cut)).difference(self.known))
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            for word, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = tuple(encoded.ids)
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in cut]
+        return [list(chain.from_iterable(map(self.__getitem__, text.translate(_BLANKS).split(" ")))) for text in texts]
+
+    def part(self, text: str, at: int) -> Part:
+        """Tokens and their places of a text that begins at ``at`` of the whole."""
+        found = Part(at, at + len(text), [], [], [])
+        for hit in _WORD.finditer(text):
+            word, start = hit.group(), at + hit.start()
+            ids = self[word]
+            widths = [len(self.names[number].removesuffix("</w>")) for number in ids]
+            if word.isascii() and sum(widths) == len(word):
+                lasts = list(accumulate(widths, initial=start))
+                found.firsts += lasts[:-1]
+                found.lasts += lasts[1:]
+            else:
+                offsets = self.tokenizer.encode(word, add_special_tokens=False).offsets
+                found.firsts += [start + a for a, _ in offsets]
+                found.lasts += [start + b for _, b in offsets]
+            found.ids += ids
+        return found
 
 
 def decoded(ids: list[int], path: str) -> str:
@@ -185,12 +233,11 @@ def _long(docs: DataFrame, path: str, longest: int) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(pieces, schema=pa.schema(key_fields))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokenizer(path)
+        words = Words(path)
         for batch in batches:
             for row in batch.to_pylist():
-                part = Part.of(row["text"], 0, len(row["text"]), coder)
-                at = row["start"]
-                row |= {"ids": part.ids, "firsts": [at + x for x in part.firsts], "lasts": [at + x for x in part.lasts]}
+                part = words.part(row["text"], row["start"])
+                row |= {"ids": part.ids, "firsts": part.firsts, "lasts": part.lasts}
                 yield pa.RecordBatch.from_pylist([row], schema=pa.schema(key_fields + token_fields))
 
     def join(table: pa.Table) -> pa.Table:
