@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import drop_stop_words, fold_tags
 from ..functions.words import ENGLISH_STOP_WORDS
+from ..session import materialise
 from .numbering import first_rows
 from .skew import hot_counts, skew_join
 
@@ -241,12 +242,13 @@ def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10
 
     Works on distinct tag sets, with any number of tags. A first look at the shortest vectors of each token
     gives every set a score that its best ``count + 1`` items reach or pass; then only pairs that may reach it are
-    scored (:func:`_close_pairs`). Which pairs are left out follows from the bounds alone, so none is lost.
+    scored (:func:`_close_pairs`). Which pairs are left out follows from the bounds alone, so none is lost. The
+    vectors, one row per tag set, are read in nine places and settled once.
     """
     wanted = count + 1
     keyed = with_tag_key(items, tags).select(item, "tag_key")
     sets = tag_sets(keyed)
-    vectors = set_vectors(sets).join(sets, "tag_key")
+    vectors = materialise(set_vectors(sets).join(sets, "tag_key"))
     postings = _postings(vectors)
     pairs = _close_pairs(postings, _bounds(postings, vectors, wanted))
     members = _first_members(keyed, item, wanted).withColumnRenamed(item, "other").withColumnRenamed("tag_key", "other_key")
