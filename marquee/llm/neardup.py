@@ -3,14 +3,16 @@
 A document has two small collections of ``COLLECTION`` band hashes, each over ``ROWS`` minhashes. A table key is
 a pair of one hash of either collection, so 2 * COLLECTION * ROWS minhashes serve COLLECTION ** 2 tables of
 2 * ROWS rows each, about the square root of what as many independent tables take. A pair at similarity s
-meets in some table with probability (1 - (1 - s ** ROWS) ** COLLECTION) ** 2: 0.9996 at 0.8, over 0.99999 at 0.85.
+meets in some table with probability (1 - (1 - s ** ROWS) ** COLLECTION) ** 2: 0.9993 at 0.8, 0.99999 at 0.87.
 
 Documents with the same shingle set are one class with one representative. In each table bucket the smallest
-representative leads, and every member is compared with it on the full sets: a bucket gives as many pairs as it
-has members. Two members near their leader are in one component already. Members that are not near it are
-compared with the others of the bucket, but only those whose distance from the leader differs by no more than
-the link distance: Jaccard distance is a metric, so no other pair can link. Nothing that met in a bucket is lost,
-and a large group of copies stays linear.
+representative leads. Every document is first compared on the full sets with the smallest of its leaders, and the
+pairs found tie it to that leader; other leaders are asked only about documents that are not tied to the same
+one already, and what all of them tell is united. Members that are then not in their leader's component are compared with the leader's other
+members, but only those of another component, whose distance from the leader differs by no more than the link distance (Jaccard distance is a metric, so no other pair
+can link), whose sizes allow it, and whose minhashes agree about as often as the threshold asks for. So a large
+group of copies stays linear, and documents that merely share a passage are told apart before their texts are
+fetched.
 
 Defined results: letters A-Z are lowered, words are what stands between ASCII blanks; a NULL text counts as
 empty; an empty one has no set and links with nothing; fewer words than a shingle has are one shingle; rows of
@@ -28,16 +30,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, whole, with_facts
+from .common import packed, settled, small_batches, whole, with_facts
 from .components import components
 
 SHINGLE = 2
 PERCENT = 80
-COLLECTION, ROWS = 12, 3
-REMEMBERED = 400_000
+COLLECTION, ROWS = 11, 3
+REMEMBERED = 100_000
+BATCH = 250
+# Of the minhashes' low bytes two documents at the link threshold share 53 on average, and fewer than these with
+# probability 1e-4.
+LEAST_ALIKE = 40
 # Sets of fewer members reach 80 % only with themselves.
 LEAST_SET = 4
-SIGNATURE = "doc_id long, n_shingles long, set_hash string, left array<long>, right array<long>"
+SIGNATURE = "doc_id long, n_shingles long, set_hash string, left array<long>, right array<long>, sketch array<byte>"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,8 +83,8 @@ def shingles(text: str, words: int = SHINGLE) -> np.ndarray:
 _SEEDS = _mixed(np.arange(1, 2 * COLLECTION * ROWS + 1, dtype=np.uint64) * _ODD)
 
 
-def bands(members: np.ndarray) -> np.ndarray:
-    """2 * COLLECTION band hashes; a row of either collection is one half."""
+def bands(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """2 * COLLECTION band hashes, one half for either collection, and the low bytes of all minhashes."""
     least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(members), 4096):
         block = (members[None, start : start + 4096] ^ _SEEDS[:, None]) * _ODD
@@ -89,7 +95,7 @@ def bands(members: np.ndarray) -> np.ndarray:
     hashed = rows[:, 0]
     for at in range(1, ROWS):
         hashed = _mixed(hashed * _ODD + rows[:, at])
-    return hashed.view(np.int64)
+    return hashed.view(np.int64), least.astype(np.uint8).view(np.int8)
 
 
 def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -97,22 +103,24 @@ def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, sets, left, right = [], [], [], []
+            sizes, sets, left, right, sketches = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 members = shingles(text, words)
-                hashes = bands(members) if len(members) >= LEAST_SET else np.empty(0, np.int64)
+                hashes, sketch = bands(members) if len(members) >= LEAST_SET else (np.empty(0, np.int64), np.empty(0, np.int8))
                 sizes.append(len(members))
                 sets.append(xxhash.xxh3_128_hexdigest(members.tobytes()))
                 left.append(hashes[:COLLECTION])
                 right.append(hashes[COLLECTION:])
+                sketches.append(sketch)
             longs = pa.list_(pa.int64())
-            columns = [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.string()), pa.array(left, longs), pa.array(right, longs)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_hash", "left", "right"])
+            columns = [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.string())]
+            columns += [pa.array(left, longs), pa.array(right, longs), pa.array(sketches, pa.list_(pa.int8()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_hash", "left", "right", "sketch"])
 
     return docs.select("doc_id", whole(F.col("text")).alias("text")).mapInArrow(run, SIGNATURE)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, words: int = SHINGLE) -> DataFrame:
     """a, b, both (size of the intersection) and either (of the union) on the full sets of both texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +136,6 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int = SHINGLE) -> DataFr
             columns = [batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(either, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "both", "either"])
 
-    texts = docs.where("doc_id IS NOT NULL").select("doc_id", whole(F.col("text")).alias("text"))
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return pairs.select("a", "b").join(first, "a").join(second, "b").mapInArrow(run, "a long, b long, both long, either long")
@@ -141,39 +148,73 @@ def table_rows(classes: DataFrame) -> DataFrame:
     return pairs.select(F.xxhash64("first", "second", "i", "j").alias("key"), "rep")
 
 
-def links(classes: DataFrame, docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """a, b: links between representatives that connect all that the tables bring together."""
+def united(classes: DataFrame, docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """node and component of the representatives that are linked with another: links of all pairs that the tables
+    bring together."""
+    near = F.col("both") * 100 >= F.col("either") * percent
     rows = table_rows(classes)
     heads = settled(rows.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last").select("key", "lead"))
-    members = settled(rows.join(heads, "key").where("rep <> lead"))
-    near = F.col("both") * 100 >= F.col("either") * percent
-    first = settled(confirmed(members.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), docs, words))
-    judged = first.groupBy(F.col("a").alias("lead"), F.col("b").alias("rep")).agg(
-        F.max(near).alias("near"), F.min(1 - F.col("both") / F.col("either")).alias("away")
-    )
-    sizes = classes.groupBy("rep").agg(F.max("n_shingles").alias("size"))
-    placed = settled(members.join(judged, ["lead", "rep"]).join(sizes, "rep"))
-    stray = placed.where("NOT near").select("key", *(F.col(name).alias(f"{name}_a") for name in ("rep", "away", "size")))
+    members = settled(rows.join(heads, "key").where("rep <> lead").select("lead", "rep").distinct())
+    met = members.select(F.explode(F.array("lead", "rep")).alias("doc_id")).distinct()
+    texts = settled(docs.select("doc_id", whole(F.col("text")).alias("text")).join(met, "doc_id", "left_semi"))
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        found = confirmed(pairs.select("a", "b"), texts, words).groupBy("a", "b")
+        return settled(found.agg(F.max(near).alias("near"), F.min(1 - F.col("both") / F.col("either")).alias("away")))
+
+    def placed(tied: DataFrame) -> DataFrame:
+        """``members`` with the component of either side."""
+        one, other = (tied.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in")) for name in ("lead", "rep"))
+        return members.join(one, "lead", "left").join(other, "rep", "left").select(
+            "lead", "rep", F.coalesce("lead_in", "lead").alias("lead_in"), F.coalesce("rep_in", "rep").alias("rep_in")
+        )
+
+    # One leader for each document first: most of what the other leaders could tell is known then.
+    first = judged(members.groupBy(F.col("rep").alias("b")).agg(F.min("lead").alias("a")))
+    parent = first.where("near").select(F.col("b").alias("node"), F.col("a").alias("component"))
+    above = parent.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    lifted = parent.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+    apart = placed(lifted).where("lead_in <> rep_in").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
+    second = judged(apart.join(first, ["a", "b"], "left_anti"))
+    told = first.unionByName(second)
+    tied = components(told.where("near").select("a", "b"))
+
+    away = told.select(F.col("a").alias("lead"), F.col("b").alias("rep"), "away")
+    known = settled(placed(tied).join(away, ["lead", "rep"], "left"))
+    facts = classes.groupBy("rep").agg(F.max("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    strays = known.where("lead_in <> rep_in")
+    contested = settled(known.join(strays.select("lead").distinct(), "lead", "left_semi").join(facts, "rep"))
+    stray = contested.where("lead_in <> rep_in").select("lead", *(F.col(name).alias(f"{name}_a") for name in ("rep", "rep_in", "away", "size", "sketch")))
     reach = 1 - percent / 100 + 1e-9
-    unlike = stray.join(placed, "key").where(
-        (F.col("rep_a") != F.col("rep"))
-        & (F.col("near") | (F.col("rep_a") < F.col("rep")))
-        & (F.abs(F.col("away_a") - F.col("away")) <= reach)
+    alike = F.size(F.filter(F.zip_with("sketch_a", "sketch", lambda one, other: one == other), lambda same: same))
+    unlike = stray.join(contested, "lead").where(
+        (F.col("rep_in_a") != F.col("rep_in"))
+        & ((F.col("lead_in") == F.col("rep_in")) | (F.col("rep_a") < F.col("rep")))
+        & F.coalesce(F.abs(F.col("away_a") - F.col("away")) <= reach, F.lit(True))
         & (F.least("size_a", "size") * 100 >= F.greatest("size_a", "size") * percent)
+        & (alike >= LEAST_ALIKE)
     )
-    second = confirmed(unlike.select(F.least("rep_a", "rep").alias("a"), F.greatest("rep_a", "rep").alias("b")).distinct(), docs, words)
-    return first.where(near).select("a", "b").unionByName(second.where(near).select("a", "b"))
+    third = judged(unlike.select(F.least("rep_a", "rep").alias("a"), F.greatest("rep_a", "rep").alias("b")).distinct())
+    late = third.where("near").select("a", "b")
+    return tied if late.isEmpty() else components(tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
 
 
 def dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
-    signed = settled(signatures(docs, words))
-    linked = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classed = with_facts(linked, ["set_hash"], ["doc_id"], rep=("min", F.col("doc_id")))
-    classes = settled(classed.where(f"doc_id = rep AND n_shingles >= {LEAST_SET}").select("rep", "n_shingles", "left", "right"))
-    same = classed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(links(classes, docs, words, percent).unionByName(same))
-    placed = signed.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    with small_batches(docs.sparkSession, BATCH):
+        signed = settled(signatures(docs, words))
+        linked = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        classed = with_facts(linked, ["set_hash"], ["doc_id"], rep=("min", F.col("doc_id")))
+        classes = settled(classed.where(f"doc_id = rep AND n_shingles >= {LEAST_SET}").select("rep", "n_shingles", "left", "right", "sketch"))
+        tied = united(classes, docs, words, percent)
+    # A document that repeats its id with other texts has several classes: all of them are one component.
+    same = settled(classed.select("doc_id", "rep").distinct())
+    ties = same.join(tied.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
+    several = ties.groupBy("doc_id").agg(F.min("component").alias("component"), F.max("component").alias("last"))
+    if not several.where("component <> last").isEmpty():
+        ties = components(ties.select(F.col("doc_id").alias("a"), F.col("component").alias("b"))).withColumnRenamed("node", "doc_id")
+        several = ties.groupBy("doc_id").agg(F.min("component").alias("component"))
+    placed = signed.join(several.select("doc_id", "component"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return placed.select(
         "doc_id",
@@ -185,4 +226,5 @@ def dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> Data
 
 def keep_first(docs: DataFrame, answers: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
-    return docs.join(answers.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = answers.where("NOT kept").select("doc_id").distinct()
+    return packed(docs, id=F.col("doc_id")).join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("row.*")
