@@ -40,7 +40,7 @@ REMEMBERED = 100_000
 BATCH = 250
 # Of the minhashes' low bytes two documents at the link threshold share 53 on average, and fewer than these with
 # probability 1e-4.
-LEAST_ALIKE = 40
+LEAST_ALIKE, LIKELY_ALIKE = 40, 53
 # Sets of fewer members reach 80 % only with themselves.
 LEAST_SET = 4
 SIGNATURE = "doc_id long, n_shingles long, set_hash string, left array<long>, right array<long>, sketch array<byte>"
@@ -177,25 +177,38 @@ def united(classes: DataFrame, docs: DataFrame, words: int = SHINGLE, percent: i
     apart = placed(lifted).where("lead_in <> rep_in").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
     second = judged(apart.join(first, ["a", "b"], "left_anti"))
     told = first.unionByName(second)
-    tied = components(told.where("near").select("a", "b"))
-
+    edges = told.where("near").select("a", "b")
     away = told.select(F.col("a").alias("lead"), F.col("b").alias("rep"), "away")
-    known = settled(placed(tied).join(away, ["lead", "rep"], "left"))
     facts = classes.groupBy("rep").agg(F.max("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
-    strays = known.where("lead_in <> rep_in")
-    contested = settled(known.join(strays.select("lead").distinct(), "lead", "left_semi").join(facts, "rep"))
-    stray = contested.where("lead_in <> rep_in").select("lead", *(F.col(name).alias(f"{name}_a") for name in ("rep", "rep_in", "away", "size", "sketch")))
-    reach = 1 - percent / 100 + 1e-9
-    alike = F.size(F.filter(F.zip_with("sketch_a", "sketch", lambda one, other: one == other), lambda same: same))
-    unlike = stray.join(contested, "lead").where(
-        (F.col("rep_in_a") != F.col("rep_in"))
-        & ((F.col("lead_in") == F.col("rep_in")) | (F.col("rep_a") < F.col("rep")))
-        & F.coalesce(F.abs(F.col("away_a") - F.col("away")) <= reach, F.lit(True))
-        & (F.least("size_a", "size") * 100 >= F.greatest("size_a", "size") * percent)
-        & (alike >= LEAST_ALIKE)
-    )
-    third = judged(unlike.select(F.least("rep_a", "rep").alias("a"), F.greatest("rep_a", "rep").alias("b")).distinct())
-    late = third.where("near").select("a", "b")
+
+    def contested(tied: DataFrame) -> DataFrame:
+        """Members of the leaders that have a member of another component, and what is known of them."""
+        known = placed(tied)
+        leads = known.where("lead_in <> rep_in").select("lead").distinct()
+        return settled(known.join(leads, "lead", "left_semi").join(away, ["lead", "rep"], "left").join(facts, "rep"))
+
+    def unlike(strays: DataFrame, others: DataFrame, least_alike: int) -> DataFrame:
+        """a, b: strays and members of their leader that may be near each other and are not in one component."""
+        stray = strays.select("lead", *(F.col(name).alias(f"{name}_a") for name in ("rep", "rep_in", "away", "size", "sketch")))
+        reach = 1 - percent / 100 + 1e-9
+        alike = F.size(F.filter(F.zip_with("sketch_a", "sketch", lambda one, other: one == other), lambda same: same))
+        met = stray.join(others, "lead").where(
+            (F.col("rep_in_a") != F.col("rep_in"))
+            & ((F.col("lead_in") == F.col("rep_in")) | (F.col("rep_a") < F.col("rep")))
+            & F.coalesce(F.abs(F.col("away_a") - F.col("away")) <= reach, F.lit(True))
+            & (F.least("size_a", "size") * 100 >= F.greatest("size_a", "size") * percent)
+            & (alike >= least_alike)
+        )
+        return met.select(F.least("rep_a", "rep").alias("a"), F.greatest("rep_a", "rep").alias("b")).distinct()
+
+    # The likeliest partners under one leader tie most strays; what is left is compared under all its leaders.
+    others = contested(components(edges))
+    strays = others.where("lead_in <> rep_in")
+    chosen = strays.groupBy("rep").agg(F.min("lead").alias("lead"))
+    likely = judged(unlike(strays.join(chosen, ["lead", "rep"], "left_semi"), others, LIKELY_ALIKE))
+    tied = components(edges.unionByName(likely.where("near").select("a", "b")))
+    others = contested(tied)
+    late = judged(unlike(others.where("lead_in <> rep_in"), others, LEAST_ALIKE)).where("near").select("a", "b")
     return tied if late.isEmpty() else components(tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
 
 
