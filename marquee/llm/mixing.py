@@ -105,11 +105,12 @@ def schedule(spark: SparkSession, shares: DataFrame, block: int = BLOCK) -> Data
     cells = shares.where("target > 0").select(
         "place", "lower", "upper", F.explode(F.sequence(F.greatest((F.col("lower") * CELLS).cast("int"), F.lit(0)), F.least((F.col("upper") * CELLS).cast("int"), last))).alias("cell")
     )
-    dealt = slots.join(cells, "cell").where((F.col("point") >= F.col("lower")) & (F.col("point") < F.col("upper"))).select("place", "chunk", "slot")
+    # Spark takes exploded sequences for small; what grows with the corpus is never broadcast.
+    dealt = slots.hint("merge").join(cells, "cell").where((F.col("point") >= F.col("lower")) & (F.col("point") < F.col("upper"))).select("place", "chunk", "slot")
     counts = dealt.groupBy("place", "chunk").agg(F.count("*").alias("count"))
     offsets = counts.select("place", "chunk", running(F.col("count"), "place", order=["chunk"]).alias("offset"))
     within = F.row_number().over(Window.partitionBy("place", "chunk").orderBy("slot")) - 1
-    return dealt.withColumn("within", within).join(offsets, ["place", "chunk"]).select("place", "slot", (F.col("offset") + F.col("within")).alias("rank"))
+    return dealt.withColumn("within", within).hint("merge").join(offsets, ["place", "chunk"]).select("place", "slot", (F.col("offset") + F.col("within")).alias("rank"))
 
 
 def shuffled(sized: DataFrame, shares: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def mix(
     columns = ["doc_id", "source", "size", "content", "source_size", "target"]
     taken = (
         pieces.withColumn("words", words)
-        .join(slots, ["place", "rank"], "left")
+        .join(slots.hint("merge"), ["place", "rank"], "left")
         .groupBy("place", "first", *columns)
         .agg(F.sum(F.when(F.col("dealt"), F.col("words")).otherwise(0)).alias("taken"))
         .select(*columns, "taken")
