@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import whole
 
-LONGEST = 32_768
+LONGEST = 65_536
 WINDOW = 64
 REMEMBERED = 250_000
 AT_ONCE = 256
