@@ -8,9 +8,12 @@ neighbours in a pass, whatever the data. Verified pairs of all passes are united
 Within a component every pair is then checked exactly, in blocks of bounded size, and each vector gets the
 number of vectors that it is directly linked with; pairs are counted where they are compared and never listed.
 
-The number of passes grows with the table (:func:`passes`): a pair at the threshold shares a sign with
-probability 1 - acos(0.9) / pi = 0.856, and has to share about log2(rows / window) first signs in some pass.
-The default misses such a pair with probability 0.01; closer pairs are missed less.
+The number of passes is measured, not assumed, as signs hardly split a crowd of similar vectors. Each row takes
+a probe through all passes: a made-up partner at the threshold that leans to the row's crowd as the row does.
+A row whose probe has come within reach in enough passes (:func:`hits`) is done; the others go through more
+passes, among themselves. The number of passes after which a row is done follows how often its pairs meet, so
+that a pair at the threshold is missed with probability 0.01 in any crowd; closer pairs are missed less. Where
+that takes more comparisons than all pairs of the rows left, these are compared instead, in blocks.
 
 Defined results: a vector that is NULL, empty or zero or has a NULL or non-finite component links with nothing, as do
 vectors of different length; equal vectors are one class and link with each other; each row is answered by its
@@ -37,11 +40,14 @@ WINDOW = 256
 SIGNS = 40
 MISS = 0.01
 BLOCK = 1024
+ROUND = 64
+CROWD = 32
 _PLACE_BITS = 33  # monotonically_increasing_id has the place within the partition below these
 
 
 def passes(rows: int, window: int = WINDOW, least: float = LEAST_COSINE, miss: float = MISS) -> int:
-    """Passes after which a pair at the threshold is missed with probability ``miss``."""
+    """First passes: those after which a pair at the threshold is missed with probability ``miss`` where each sign
+    halves the rows."""
     agree = 1 - math.acos(least) / math.pi
     found = min(agree ** math.log2(max(2.0, rows / window)), 0.99)
     return max(3, math.ceil(math.log(miss) / math.log(1 - found)))
@@ -59,22 +65,69 @@ def matrices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, n
         yield rows, found / np.sqrt((found * found).sum(1))[:, None]
 
 
-def _codes(count: int, seed: int):
+def hits(miss: float = MISS) -> int:
+    """Passes that have to bring a row's probe within reach.
+
+    A partner that meets the row as often as the probe is missed until the n-th hit with probability below 2^-n;
+    one hit more, as either end of a pair may be done first.
+    """
+    return math.ceil(math.log2(1 / miss)) + 1
+
+
+def probes(found: np.ndarray, names: np.ndarray, order: np.ndarray, least: float, seed: int) -> np.ndarray:
+    """Per unit vector, one at cosine ``least`` with the same part along the mean of its neighbours in ``order``.
+
+    The rest points anywhere: a sum of two from fixed lists of directions, chosen by name, so reruns agree.
+    """
+    sums = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found[order], 0)])
+    first = np.clip(np.arange(len(order)) - CROWD, 0, None)
+    last = np.minimum(np.arange(len(order)) + CROWD + 1, len(order))
+    mean = np.empty_like(found)
+    mean[order] = sums[last] - sums[first] - found[order]
+
+    def unit(rows: np.ndarray) -> np.ndarray:
+        size = np.linalg.norm(rows, axis=1, keepdims=True)
+        return np.divide(rows, size, out=np.zeros_like(rows), where=size > 1e-9)
+
+    def along(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+        return (rows * others).sum(1, keepdims=True) * others
+
+    mean = unit(mean)
+    common = along(found, mean)
+    own = found - common
+    rest = (own * own).sum(1, keepdims=True)
+    cosine = np.clip(np.divide(rest - (1 - least), rest, out=np.zeros_like(rest), where=rest > 1e-9), 0, 1)
+    source = np.random.default_rng([seed, found.shape[1], 1])
+    one, other = source.standard_normal((997, found.shape[1])), source.standard_normal((1009, found.shape[1]))
+    away = one[names % 997] + other[names % 1009]
+    away -= along(away, mean)
+    away = unit(away - along(away, unit(own)))
+    return common + cosine * own + np.sqrt(rest * (1 - cosine * cosine)) * away
+
+
+def _codes(count: int, seed: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = (1 << np.arange(SIGNS - 1, -1, -1)).astype(np.int64)
         for batch in batches:
-            codes = np.zeros((batch.num_rows, count), np.int64)
+            names = batch.column("rep").cast(pa.int64()).to_numpy(zero_copy_only=False)
+            codes, tried = np.zeros((2, batch.num_rows, count), np.int64)
             for rows, found in matrices(batch.column("vector")):
                 directions = np.random.default_rng([seed, found.shape[1]]).standard_normal((found.shape[1], count * SIGNS))
-                signs = (found @ directions > 0).reshape(len(rows), count, SIGNS)
-                codes[rows] = signs @ weights
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(list(codes), pa.list_(pa.int64()))], names=["rep", "codes"])
+
+                def signs(vectors: np.ndarray) -> np.ndarray:
+                    return (vectors @ directions > 0).reshape(len(rows), count, SIGNS) @ weights
+
+                codes[rows] = signs(found)
+                order = np.lexsort((names[rows], codes[rows, 0]))
+                tried[rows] = signs(probes(found, names[rows], order, least, seed))
+            lists = (pa.array(list(part), pa.list_(pa.int64())) for part in (codes, tried))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), *lists], names=["rep", "codes", "probes"])
 
     return run
 
 
 def ranked(coded: DataFrame) -> DataFrame:
-    """Rows of (pass, code, rep) with their dense rank in that order, from a range sort and partition offsets."""
+    """Rows of (pass, code, rep, probe) with their dense rank in that order, from a range sort and partition offsets."""
     order = ["pass", "code", "rep"]
     placed = settled(coded.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", _PLACE_BITS)
@@ -82,7 +135,18 @@ def ranked(coded: DataFrame) -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     place = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return placed.withColumn("_part", part).join(offsets, "_part").select("rep", (F.col("_offset") + place).alias("rank"))
+    return placed.withColumn("_part", part).join(offsets, "_part").select("rep", "pass", "code", "probe", (F.col("_offset") + place).alias("rank"))
+
+
+def met(ranks: DataFrame, window: int) -> DataFrame:
+    """rep and met: the passes in which a row's probe falls between the block before the row's and the one behind."""
+    block = F.expr(f"rank div {window}")
+    starts = ranks.where(F.col("rank") % window == 0).select(block.alias("at"), F.struct("pass", "code").alias("start"))
+    near = starts.select("start", F.explode(F.array(F.lit(1), F.lit(-2))).alias("ahead"), "at").select((F.col("at") + F.col("ahead")).alias("block"), "ahead", "start")
+    reach = near.groupBy("block").agg(F.min(F.when(F.col("ahead") == 1, F.col("start"))).alias("low"), F.min(F.when(F.col("ahead") == -2, F.col("start"))).alias("high"))
+    probe = F.struct("pass", F.col("probe").alias("code"))
+    within = (F.col("low").isNull() | (probe >= F.col("low"))) & (F.col("high").isNull() | (probe < F.col("high")))
+    return ranks.withColumn("block", block).join(reach, "block", "left").groupBy("rep").agg(F.sum(within.cast("long")).alias("met"))
 
 
 def _close(least: float):
@@ -129,13 +193,36 @@ def _counted(least: float):
     return run
 
 
+def all_pairs(classes: DataFrame, rows: int, least: float = LEAST_COSINE, block: int = BLOCK) -> DataFrame:
+    """a, b: ties between classes (rep, vector) from every pair of chunks."""
+    parts = math.ceil(rows / block)
+    chunked = classes.select("rep", "vector", F.pmod(F.xxhash64("rep", F.lit(11)), F.lit(parts)).cast("int").alias("chunk"))
+    pairs = chunked.select("rep", "vector", "chunk", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("other"))
+    dealt = pairs.select("rep", "vector", F.least("chunk", "other").alias("home"), F.greatest("chunk", "other").alias("away"))
+    return dealt.groupBy("home", "away").applyInArrow(_close(least), "a long, b long").distinct()
+
+
 def found_links(classes: DataFrame, rows: int, least: float = LEAST_COSINE, window: int = WINDOW, miss: float = MISS, seed: int = 0) -> DataFrame:
     """a, b: ties between classes (rep, vector) from all passes."""
-    coded = classes.select("rep", "vector").mapInArrow(_codes(passes(rows, window, least, miss), seed), "rep long, codes array<long>")
-    ranks = ranked(coded.select("rep", F.posexplode("codes").alias("pass", "code")))
-    block = F.expr(f"rank div {window}")
-    spread = ranks.join(classes.select("rep", "vector"), "rep").select("rep", "vector", F.explode(F.array(block, block + 1)).alias("block"))
-    return spread.groupBy("block").applyInArrow(_close(least), "a long, b long").distinct()
+    enough, count, done = hits(miss), passes(rows, window, least, miss), 0
+    left, found = classes.select("rep", "vector", F.lit(0).cast("long").alias("met")), None
+    while rows:
+        if count * 4 * window >= rows and done:
+            return found.unionByName(all_pairs(left, rows, least)).distinct()
+        count = min(count, ROUND)
+        coded = left.select("rep", "vector").mapInArrow(_codes(count, seed + done, least), "rep long, codes array<long>, probes array<long>")
+        both = F.posexplode(F.arrays_zip("codes", "probes")).alias("pass", "both")
+        ranks = ranked(coded.select("rep", both).select("rep", "pass", F.col("both.codes").alias("code"), F.col("both.probes").alias("probe")))
+        block = F.expr(f"rank div {window}")
+        spread = ranks.join(left.select("rep", "vector"), "rep").select("rep", "vector", F.explode(F.array(block, block + 1)).alias("block"))
+        ties = spread.groupBy("block").applyInArrow(_close(least), "a long, b long").distinct()
+        found = ties if found is None else settled(found.unionByName(ties).distinct())
+        done += count
+        scored = left.withColumnRenamed("met", "_met").join(met(ranks, window), "rep")
+        left = settled(scored.select("rep", "vector", (F.col("_met") + F.col("met")).alias("met")).where(F.col("met") < enough))
+        more = (enough - F.col("met")) / F.greatest(F.col("met").cast("double"), F.lit(0.5)) * done
+        rows, count = left.agg(F.count("*"), F.ceil(F.coalesce(F.avg(more), F.lit(0.0)))).first()
+    return found if found is not None else all_pairs(classes, 1, least)
 
 
 def direct_links(classes: DataFrame, united: DataFrame, rows: int, least: float = LEAST_COSINE, block: int = BLOCK) -> DataFrame:

@@ -252,6 +252,29 @@ def test_vector_recall(spark):
     assert (links <= near.sum(1)).all() and links.sum() >= 0.98 * near.sum() > 0
 
 
+@pytest.mark.parametrize("mean", [0.7, 0.8])
+def test_vector_recall_in_a_hot_cone(spark, mean):
+    """A third of the rows has mean cosine ``mean``; isolated pairs of them have 0.91."""
+    source, rows, pairs = np.random.default_rng(3), 18000, 1000
+
+    def unit(rows):
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    def away(rows, *others):
+        for other in others:
+            rows = rows - (rows * other).sum(1, keepdims=True) * other
+        return unit(rows)
+
+    centre = unit(source.standard_normal((1, 128)))
+    own = away(source.standard_normal((rows // 3, 128)), centre)
+    cosine = (0.91 - mean) / (1 - mean)
+    own[pairs : 2 * pairs] = cosine * own[:pairs] + np.sqrt(1 - cosine * cosine) * away(source.standard_normal((pairs, 128)), centre, own[:pairs])
+    table = np.concatenate([np.sqrt(mean) * centre + np.sqrt(1 - mean) * own, unit(source.standard_normal((rows - rows // 3, 128)))])
+    frame = spark.createDataFrame([(n, row.tolist()) for n, row in enumerate(table)], "rep long, vector array<double>").repartition(8)
+    ties = {tuple(sorted(map(int, row))) for row in vectors.found_links(frame, rows, window=16).collect()}
+    assert sum((n, pairs + n) in ties for n in range(pairs)) >= 0.99 * pairs
+
+
 def test_mix_meets_targets(spark):
     found = QUERIES["op7_source_mix"](spark, MEDIUM).collect()
     by_source = defaultdict(list)
