@@ -86,12 +86,15 @@ def targets(sized: DataFrame, weights: tuple = WEIGHTS, most_copies: int = MOST_
 def schedule(spark: SparkSession, shares: DataFrame, block: int = BLOCK) -> DataFrame:
     """place (of the source), slot and rank: which slots go to which source, ranked within it.
 
-    As many slots as the targets need and a few more, so that each source reaches its target; what lies beyond
-    a target is cut when blocks are taken. Sources are found over cells of the unit interval by an equal join.
+    As many slots as the targets need and a few more; what lies beyond a target is cut when blocks are taken. A
+    source whose part the points hit too rarely gets the slots that it lacks behind all others, so that each
+    source reaches its target at any size of the corpus. Sources are found over cells of the unit interval by an
+    equal join.
     """
     total = F.max("total")
     need = F.ceil(total / block) + F.ceil(total / block / 16) + SPARE * F.count("*")
-    chunks = shares.agg(F.coalesce(need, F.lit(0)).cast("long").alias("slots")).select(
+    planned = shares.agg(F.coalesce(need, F.lit(0)).cast("long").alias("slots"), F.count("*").alias("sources"))
+    chunks = planned.select(
         "slots", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("slots") / CHUNK).cast("long"))).alias("chunk")
     )
     slots = (
@@ -110,7 +113,12 @@ def schedule(spark: SparkSession, shares: DataFrame, block: int = BLOCK) -> Data
     counts = dealt.groupBy("place", "chunk").agg(F.count("*").alias("count"))
     offsets = counts.select("place", "chunk", running(F.col("count"), "place", order=["chunk"]).alias("offset"))
     within = F.row_number().over(Window.partitionBy("place", "chunk").orderBy("slot")) - 1
-    return dealt.withColumn("within", within).hint("merge").join(offsets, ["place", "chunk"]).select("place", "slot", (F.col("offset") + F.col("within")).alias("rank"))
+    ranks = dealt.withColumn("within", within).hint("merge").join(offsets, ["place", "chunk"]).select("place", "slot", (F.col("offset") + F.col("within")).alias("rank"))
+    had = counts.groupBy("place").agg(F.sum("count").alias("had"))
+    wanted = shares.select("place", F.ceil(F.round("target") / block).cast("long").alias("wanted"))
+    short = wanted.join(had, "place", "left").withColumn("had", F.coalesce("had", F.lit(0).cast("long"))).where("had < wanted")
+    lacking = short.crossJoin(F.broadcast(planned)).withColumn("rank", F.explode(F.sequence(F.col("had"), F.col("wanted") - 1)))
+    return ranks.unionByName(lacking.select("place", (F.col("slots") + F.col("rank") * F.col("sources") + F.col("place")).alias("slot"), "rank"))
 
 
 def shuffled(sized: DataFrame, shares: DataFrame) -> DataFrame:

@@ -297,6 +297,20 @@ def test_mix_caps_small_sources(spark):
     assert all(abs(taken[name] - target) <= 8 for name, target in targets.items())
 
 
+def test_slots_of_small_sources(spark):
+    targets = [60.0 if n % 2 else 1_000_000.0 - 60 for n in range(20)]
+    ends = np.cumsum(targets) / sum(targets)
+    rows = [(n, target, int(sum(targets)), float(end - target / sum(targets)), float(end)) for n, (target, end) in enumerate(zip(targets, ends))]
+    shares = spark.createDataFrame(rows, "place long, target double, total long, lower double, upper double")
+    dealt = mixing.schedule(spark, shares).collect()
+    assert len({row["slot"] for row in dealt}) == len(dealt)
+    ranks = defaultdict(list)
+    for row in dealt:
+        ranks[row["place"]].append(row["rank"])
+    for place, target in enumerate(targets):
+        assert sorted(ranks[place]) == list(range(len(ranks[place]))) and len(ranks[place]) * mixing.BLOCK >= target
+
+
 def test_held_out_quality():
     rows = duckdb.sql(
         f"SELECT text, CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END FROM '/root/testdata/sf0.1/documents.parquet'"
