@@ -5,6 +5,9 @@ card (Luhn), phone (9 to 15 digits) and, added by this operator, iban (mod 97).
 kind's prior, rises with a word near the span that speaks of the kind and falls with one that speaks of
 samples; it never removes a span.
 
+A spaced iban is proposed with all the groups that may belong to it. It ends at the length of its country, else
+where the groups end; without a known country, at the last group that leaves a valid code.
+
 Defined results: a NULL text counts as empty; no spans give empty strings and a score of NULL; repeated rows
 each get their own answer; an empty table gives an empty result; other columns are ignored.
 """
@@ -26,6 +29,15 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"[A-Z]{2}[0-9]{2}(?:(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?|[A-Z0-9]{11,30})",
 }
+# The start of an iban, so that a proposal swallows no other's start, and the lengths by country.
+IBAN_START = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20[A-Z0-9]{4}){2}|[A-Z0-9]{11})"
+IBAN_WIDTH = 43
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC",
+    33: "RU",
+}
 # Prior score of a kind and words that speak for it.
 PRIORS = {"email": 0.7, "ip": 0.4, "card": 0.6, "phone": 0.5, "iban": 0.7}
 WORDS = {
@@ -83,12 +95,31 @@ def confirmed(kind: str, text: Column, span: Column) -> Column:
     if kind == "phone":
         return F.length(digits(value)).between(9, 15)
     if kind == "iban":
-        before = F.when(span["start"] > 0, F.substr(text, span["start"], F.lit(1))).otherwise("")
-        after = F.substr(text, span["end"] + 1, F.lit(1))
-        return ~F.concat(before, after).rlike("[A-Za-z0-9]") & mod97(value)
+        return value.isNotNull()
     return F.lit(True)
 
 
+def ibans(text: Column) -> Column:
+    """Spans of :func:`matches` at each start of an iban, up to its end; the value is NULL without a valid end."""
+    lengths = F.create_map(*(F.lit(part) for length, codes in IBAN_LENGTHS.items() for code in codes.split() for part in (code, length)))
+
+    def ended(span: Column) -> Column:
+        most = F.regexp_extract(F.substr(text, span["start"] + 1, F.lit(IBAN_WIDTH)), f"^(?:{PATTERNS['iban']})", 0)
+        length = F.element_at(lengths, F.left(most, F.lit(2)))
+        own = F.when(F.substr(most, F.lit(5), F.lit(1)) == " ", length + F.floor((length - 1) / 4).cast("int")).otherwise(length)
+        groups = F.when(length.isNull(), F.array(*(F.lit(4 + 5 * number) for number in range(7, 1, -1)))).otherwise(F.array().cast("array<int>"))
+        ends = F.concat(F.array(own, F.length(most)), groups)
+
+        def valid(end: Column) -> Column:
+            bare = ~F.substr(text, span["start"] + end + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+            return F.coalesce((end <= F.length(most)) & bare, F.lit(False)) & mod97(F.left(most, end))
+
+        end = F.get(F.filter(ends, valid), F.lit(0))
+        return F.struct(span["start"].alias("start"), (span["start"] + end).alias("end"), F.left(most, end).alias("value"))
+
+    return F.transform(matches(text, IBAN_START), ended)
+
+
 def score(kind: str, text: Column, span: Column) -> Column:
     """Prior plus what the words within :data:`NEAR` characters before and after say, between 0 and 1."""
     first = F.greatest(span["start"] - NEAR, F.lit(0))
@@ -103,7 +134,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     body = whole(F.col(text))
 
     def of(kind: str) -> Column:
-        proposed = labelled(matches(body, PATTERNS[kind]), kind, list(PATTERNS).index(kind))
+        proposed = labelled(ibans(body) if kind == "iban" else matches(body, PATTERNS[kind]), kind, list(PATTERNS).index(kind))
         return F.transform(
             F.filter(proposed, lambda span: confirmed(kind, body, span)),
             lambda span: F.struct(

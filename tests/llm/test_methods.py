@@ -75,6 +75,25 @@ def test_private_spans(spark):
     assert iban["n_iban"] == 2 and iban["spans"].startswith("card") is False
 
 
+IBANS = [
+    ("ES91 2100 0418 4502 0005 1332 Please", ["ES91 2100 0418 4502 0005 1332"]),
+    ("BE68 5390 0754 7034 BIC KREDBEBB", ["BE68 5390 0754 7034"]),
+    ("to AT61 1904 3002 3457 3201 2024-05-01", ["AT61 1904 3002 3457 3201"]),
+    ("BE68 5390 0754 7034 AT61 1904 3002 3457 3201 or DE89370400440532013000.", ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "DE89370400440532013000"]),
+    ("AB12 CDEF GHIJ DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+    ("MT84 MALT 0110 0001 2345 MTLC AST0 01S and LC55 HEMM 0001 0001 0012 0012 0002 3015 X", ["MT84 MALT 0110 0001 2345 MTLC AST0 01S", "LC55 HEMM 0001 0001 0012 0012 0002 3015"]),
+    ("BE68 5390 0754 7035 BIC, xBE68 5390 0754 7034, BE68539007547034A", []),
+]
+
+
+def test_iban_ends(spark):
+    frame = spark.createDataFrame([(n, text) for n, (text, _) in enumerate(IBANS)], "doc_id long, text string")
+    for row in pii.find(frame).collect():
+        text, want = IBANS[row["doc_id"]]
+        found = [span for span in row["spans"] if span["kind"] == "iban"]
+        assert [span["value"] for span in found] == want == [text[span["start"] : span["end"]] for span in found]
+
+
 def test_context_moves_the_score(spark):
     table = [(0, "card 4111111111111111"), (1, "example 4111111111111111"), (2, "4111111111111111")]
     found = pii.digests(pii.find(spark.createDataFrame(table, "doc_id long, text string")))
