@@ -197,6 +197,19 @@ def test_fuzzy_notices(text, labels):
         assert " ".join(words.split()[first : last + 1]) == part
 
 
+@pytest.mark.parametrize(
+    "text, spans",
+    [
+        ("under teh mit license under the mit license", [("mit", 0, 3, 2), ("mit", 4, 7, 0)]),
+        ("gnu genral public license gnu general public license", [("gpl", 0, 3, 1), ("gpl", 4, 7, 0)]),
+        ("bsd 3 claus licens bsd 2 clause license", [("bsd-3-clause", 0, 3, 2)]),
+        ("cc by nd cc bi nc cc by nc", [("cc-by-nc", 3, 5, 1), ("cc-by-nc", 6, 8, 0)]),
+    ],
+)
+def test_notices_side_by_side(text, spans):
+    assert [span[:4] for span in licenses.fuzzy_places(licenses.normal(text)[0])] == spans
+
+
 def test_seeds_of_a_notice_cover_it():
     for notice, _, edits, _ in licenses.NOTICES:
         found = licenses.pieces(notice, edits)
