@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, licenses, lines, mixing, neardup, pii, quality, secrets, vectors
+from . import bpe, centroids, contamination, conversations, exact, licenses, lines, mixing, neardup, pii, quality, secrets, vectors
 from .common import settled, table
 
 
@@ -61,6 +61,19 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, quality.graded(table(spark, folder, "labels"))))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.audited(table(spark, folder, "conversations"))
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return contamination.digests(docs, *contamination.find(docs, table(spark, folder, "benchmark")))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.digests(*centroids.cluster(table(spark, folder, "embeddings")))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
@@ -72,4 +85,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_decontamination": op12_decontamination,
+    "op13_centroids": op13_centroids,
 }

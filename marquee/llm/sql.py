@@ -189,10 +189,87 @@ SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10)))::BIGINT AS n_l
 FROM documents d LEFT JOIN gone g ON d.doc_id IS NOT DISTINCT FROM g.doc_id AND coalesce(d.text, '') = g.text
 """
 
+_OP12 = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS content
+    FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s FROM items WHERE len(w) > 0)
+), met AS (
+    SELECT DISTINCT doc_id, s, d.n, item_id
+    FROM (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS content
+          FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+                FROM split, (SELECT DISTINCT n FROM windows))) d
+    JOIN windows USING (content, n)
+), hit AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS place FROM met) GROUP BY doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM met) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM split LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
+def _clusters(rounds: int = 5, clusters: int = 40) -> str:
+    """The rounds one after another: ``c0`` to ``c5`` hold the centroids, component by component."""
+    steps = [
+        f"""
+kept AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), v AS (
+    SELECT vec_id, place, floor(256 * component::DOUBLE)::BIGINT AS x
+    FROM (SELECT vec_id, unnest(embedding) AS component, generate_subscripts(embedding, 1) AS place FROM kept)
+), c0 AS (
+    SELECT number, place, x FROM v
+    JOIN (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS number FROM kept) USING (vec_id)
+    WHERE number < {clusters}
+)"""
+    ]
+    for place in range(rounds + 1):
+        steps.append(
+            f"""a{place} AS MATERIALIZED (
+    SELECT vec_id, arg_min(number, (distance, number)) AS number, min(distance) AS distance
+    FROM (SELECT vec_id, number, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+          FROM v JOIN c{place} c USING (place) GROUP BY vec_id, number)
+    GROUP BY vec_id
+)"""
+        )
+        if place < rounds:
+            steps.append(
+                f"""c{place + 1} AS MATERIALIZED (
+    SELECT number, place, coalesce(moved, c{place}.x) AS x FROM c{place}
+    LEFT JOIN (SELECT number, place, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS moved
+               FROM v JOIN a{place} USING (vec_id) GROUP BY number, place) USING (number, place)
+)"""
+            )
+    return (
+        "WITH "
+        + ", ".join(steps)
+        + f"""
+SELECT vec_id, number::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY number))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN (SELECT number, sha256(string_agg(x::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM c{rounds} GROUP BY number) USING (number)
+"""
+    )
+
+
 SQL = {
     "op1_secret_scan": _OP1,
     "op4_exact_dedup": _OP4,
     "op7_source_mix": _OP7,
     "op8_line_dedup": _OP8,
     "op9_personal_data": _OP9,
+    "op12_decontamination": _OP12,
+    "op13_centroids": _clusters(),
 }
