@@ -9,7 +9,7 @@ from collections import Counter
 import duckdb
 import pandas as pd
 import public_tokenizers
-from test_methods import brute_near
+from brute import brute_near
 
 import corpus_pipeline
 from marquee.llm import bpe, quality

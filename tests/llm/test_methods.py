@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from brute import brute_near
 
 from marquee.llm import bpe, common, components, licenses, mixing, neardup, pii, quality, secrets, vectors
 from marquee.llm.queries import QUERIES
@@ -216,31 +217,6 @@ def test_seeds_of_a_notice_cover_it():
         assert "".join(piece for _, piece in found) == notice and len(found) == edits + 1
 
 
-def brute_near(rows, size=2):
-    sets = {}
-    for number, text in rows:
-        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-        words = [word for word in re.split("[\x20\x09-\x0d]+", low) if word]
-        sets[number] = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} or ({tuple(words)} if words else set())
-    parent = {number: number for number in sets}
-
-    def root(number):
-        while parent[number] != number:
-            number = parent[number]
-        return number
-
-    users = defaultdict(list)
-    for number in sorted(sets):
-        shared = Counter(other for one in sets[number] for other in users[one])
-        for one in sets[number]:
-            users[one].append(number)
-        for other, both in shared.items():
-            if 100 * both >= 80 * (len(sets[number]) + len(sets[other]) - both):
-                a, b = root(number), root(other)
-                parent[max(a, b)] = min(a, b)
-    return {number: (len(sets[number]), root(number), root(number) == number) for number in sets}
-
-
 def test_near_query(spark):
     found = {row["doc_id"]: tuple(row)[1:] for row in QUERIES["op5_minhash"](spark, MEDIUM).collect()}
     assert found == brute_near(texts(MEDIUM))
@@ -309,13 +285,15 @@ def test_vector_recall_in_a_hot_cone(spark, mean):
 
 def test_mix_meets_targets(spark):
     found = QUERIES["op7_source_mix"](spark, MEDIUM).collect()
+    sources = dict(spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "source").collect())
     by_source = defaultdict(list)
     for row in found:
-        by_source[row["target"]].append(row)
+        by_source[sources[row["doc_id"]]].append(row)
         assert 0 <= row["taken"] <= 3 * row["size"]
-    for target, rows in by_source.items():
-        assert abs(sum(row["taken"] for row in rows) - target) <= mixing.BLOCK
-    assert abs(sum(by_source) - sum(row["size"] for row in found)) < 1
+    targets = {source: rows[0]["target"] for source, rows in by_source.items()}
+    for source, rows in by_source.items():
+        assert abs(sum(row["taken"] for row in rows) - targets[source]) <= mixing.BLOCK
+    assert abs(sum(targets.values()) - sum(row["size"] for row in found)) < 1
 
 
 def test_mix_caps_small_sources(spark):
