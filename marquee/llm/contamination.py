@@ -70,6 +70,8 @@ def _blocks(rows: DataFrame, size: Column) -> list[DataFrame]:
     """``rows`` in parts, by their shingle, each small enough to be broadcast."""
     total = rows.agg(F.sum(size)).first()[0] or 0
     many = -(-total // BLOCK_BYTES)
+    if many == 1:
+        return [F.broadcast(rows)]
     return [F.broadcast(rows.where(F.pmod("shingle", F.lit(many)) == at)) for at in range(many)]
 
 
