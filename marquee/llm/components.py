@@ -1,42 +1,51 @@
-"""Connected components of an edge table, by alternating large and small stars."""
+"""Connected components of an edge table, by small stars and pointer jumps."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settled, with_facts
+from .common import salt, settled
 
 ROUNDS = 60
 
 
-def _stars(pairs: DataFrame) -> bool:
-    """Whether every node has one root and no root is a node: the end."""
-    nodes = pairs.select("node", F.lit(1).alias("held"), F.lit(0).alias("holds"))
-    roots = pairs.select(F.col("root").alias("node"), F.lit(0).alias("held"), F.lit(1).alias("holds"))
-    seen = nodes.unionByName(roots).groupBy("node").agg(F.sum("held").alias("held"), F.max("holds").alias("holds"))
-    return seen.where("held > 1 OR held = 1 AND holds = 1").isEmpty()
+def _least(column: str, *keys: str) -> Column:
+    return F.min(column).over(Window.partitionBy(*keys))
+
+
+def _tied(pairs: DataFrame) -> DataFrame:
+    """node, root, own and moved: the roots of each node tied to the least of them; ``own`` marks its one own row.
+
+    A node's rows are spread over salts. Each part ties its roots to its own least one, and the parts' least roots,
+    at most one for each salt, go to the least of all: a window never holds more than a part of a hot node.
+    """
+    parts = pairs.withColumn("_salt", salt("root")).withColumn("part", _least("root", "node", "_salt"))
+    inner = parts.where("root > part").select(F.col("root").alias("node"), F.col("part").alias("root"))
+    heads = parts.where("root = part").select("node", "part").withColumn("least", _least("part", "node"))
+    outer = heads.where("part > least").select(F.col("part").alias("node"), F.col("least").alias("root"))
+    own = heads.select("node", F.col("least").alias("root"), F.lit(True).alias("own"))
+    freed = inner.unionByName(outer).withColumn("own", F.lit(False))
+    return own.unionByName(freed).distinct().withColumn("moved", ~F.col("own"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node and component (its smallest reachable node) for every node of ``edges`` (a, b); ids are not NULL.
 
-    Each round ties every node's larger neighbours, then its smaller ones, to the smallest node it sees; the
-    number of rounds grows with the logarithm of the nodes. A node with any number of neighbours is spread over
-    salts. Rounds are settled, and the driver learns no more of them than whether they were the last.
+    Each round ties all roots that a node sees to the smallest one and then every node to the root of its root, so the
+    number of rounds grows with the logarithm of the nodes. Both steps are settled, which leaves the join of the second
+    a plain one whose hot roots the optimiser can split. Rows say themselves whether the round moved them; a round
+    that moved none was the last, and that is all the driver learns of it.
     """
-    pairs = settled(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct()
-    )
+    pairs = settled(edges.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")))
     for _ in range(ROUNDS):
-        if _stars(pairs):
+        tied = settled(_tied(pairs))
+        above = tied.where("own").select(F.col("node").alias("root"), F.col("root").alias("above"))
+        moved = (F.col("moved") | F.col("above").isNotNull()).alias("moved")
+        pairs = settled(tied.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"), moved))
+        if pairs.where("moved").isEmpty():
             break
-        both = pairs.unionByName(pairs.select(F.col("root").alias("node"), F.col("node").alias("root")))
-        large = with_facts(both, ["node"], ["root"], least=("min", F.col("root"))).where("root > node")
-        tied = large.select(F.col("root").alias("node"), F.least("node", "least").alias("root")).distinct()
-        small = with_facts(tied, ["node"], ["root"], least=("min", F.col("root")))
-        moved = small.where("root <> least").select(F.col("root").alias("node"), F.col("least").alias("root"))
-        pairs = settled(moved.unionByName(small.select("node", F.col("least").alias("root"))).distinct())
+        pairs = pairs.select("node", "root")
     else:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
     roots = pairs.select(F.col("root").alias("node")).distinct()

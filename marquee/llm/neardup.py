@@ -202,14 +202,20 @@ def united(classes: DataFrame, docs: DataFrame, words: int = SHINGLE, percent: i
         return met.select(F.least("rep_a", "rep").alias("a"), F.greatest("rep_a", "rep").alias("b")).distinct()
 
     # The likeliest partners under one leader tie most strays; what is left is compared under all its leaders.
-    others = contested(components(edges))
-    strays = others.where("lead_in <> rep_in")
-    chosen = strays.groupBy("rep").agg(F.min("lead").alias("lead"))
-    likely = judged(unlike(strays.join(chosen, ["lead", "rep"], "left_semi"), others, LIKELY_ALIKE))
-    tied = components(edges.unionByName(likely.where("near").select("a", "b")))
-    others = contested(tied)
-    late = judged(unlike(others.where("lead_in <> rep_in"), others, LEAST_ALIKE)).where("near").select("a", "b")
-    return tied if late.isEmpty() else components(tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late))
+    tied = settled(components(edges))
+    for least_alike in (LIKELY_ALIKE, LEAST_ALIKE):
+        others = contested(tied)
+        strays = others.where("lead_in <> rep_in")
+        if strays.isEmpty():
+            break
+        if least_alike == LIKELY_ALIKE:
+            chosen = strays.groupBy("rep").agg(F.min("lead").alias("lead"))
+            strays = strays.join(chosen, ["lead", "rep"], "left_semi")
+        links = judged(unlike(strays, others, least_alike)).where("near").select("a", "b")
+        if not links.isEmpty():  # they are added to the finished components
+            known = tied.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            tied = settled(components(known.unionByName(links)))
+    return tied
 
 
 def dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -217,13 +223,13 @@ def dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> Data
     with small_batches(docs.sparkSession, BATCH):
         signed = settled(signatures(docs, words))
         linked = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        classed = with_facts(linked, ["set_hash"], ["doc_id"], rep=("min", F.col("doc_id")))
-        classes = settled(classed.where(f"doc_id = rep AND n_shingles >= {LEAST_SET}").select("rep", "n_shingles", "left", "right", "sketch"))
+        classed = settled(with_facts(linked, ["set_hash"], ["doc_id"], rep=("min", F.col("doc_id"))))
+        classes = classed.where(f"doc_id = rep AND n_shingles >= {LEAST_SET}").select("rep", "n_shingles", "left", "right", "sketch")
         tied = united(classes, docs, words, percent)
     # A document that repeats its id with other texts has several classes: all of them are one component.
-    same = settled(classed.select("doc_id", "rep").distinct())
-    ties = same.join(tied.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
-    several = ties.groupBy("doc_id").agg(F.min("component").alias("component"), F.max("component").alias("last"))
+    same = classed.select("doc_id", "rep").distinct()
+    ties = settled(same.join(tied.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component")))
+    several = settled(ties.groupBy("doc_id").agg(F.min("component").alias("component"), F.max("component").alias("last")))
     if not several.where("component <> last").isEmpty():
         ties = components(ties.select(F.col("doc_id").alias("a"), F.col("component").alias("b"))).withColumnRenamed("node", "doc_id")
         several = ties.groupBy("doc_id").agg(F.min("component").alias("component"))
