@@ -30,20 +30,21 @@ WINDOW = 10
 SEED = 5
 BLOCK_BYTES = 32 << 20
 ROW_BYTES = 64  # of a broadcast row besides its window's text
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def lowered(text: Column) -> Column:
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
 
 
 def words(text: Column) -> Column:
-    text = whole(text)
-    ascii_only = F.length(text) == F.octet_length(text)
-    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    """Words of a text, letters as they are: few of them are ever compared, and those are lowered then."""
+    return F.regexp_extract_all(whole(text), F.lit(WORD), F.lit(0))
 
 
 def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """content (words joined by blanks), n_words and item_id: each distinct window of each item."""
-    cut = items.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    cut = items.select("item_id", words(lowered(F.col("text"))).alias("words")).where(F.size("words") > 0)
     start = F.explode(F.sequence(F.lit(1), F.greatest(F.size("words") - window + 1, F.lit(1))))
     cut = cut.select("item_id", "words", start.alias("start"))
     return cut.select(F.slice("words", F.col("start"), window).alias("part"), "item_id").select(
@@ -52,13 +53,15 @@ def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _hashed(list_of_words: Column) -> Column:
-    return F.transform(list_of_words, lambda word: F.xxhash64(word))
+    """Words that are equal with A-Z lowered have equal hashes; others may have, as all letters are lowered here."""
+    return F.transform(list_of_words, lambda word: F.xxhash64(F.lower(word)))
 
 
 def _shingles(rows: DataFrame, hashes: str, width: int) -> DataFrame:
     """``rows`` once per shingle of ``width`` words: its place (from 0) and hash."""
-    long_enough = rows.where(F.size(hashes) >= width)
-    placed = long_enough.select("*", F.explode(F.sequence(F.lit(0), F.size(hashes) - width)).alias("place"))
+    # The filter comes behind the explosion: before it, each text would be split once more for it.
+    last = F.greatest(F.size(hashes) - width, F.lit(0))
+    placed = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("place")).where(F.col("place") + width <= F.size(hashes))
     return placed.withColumn("shingle", F.xxhash64(F.lit(width), F.slice(hashes, F.col("place") + 1, width)))
 
 
@@ -100,7 +103,7 @@ def occurrences(docs: DataFrame, wanted: DataFrame, seed: int = SEED) -> DataFra
         for block in _blocks(prefixes, F.octet_length("content") + ROW_BYTES):
             met = _shingles(hashed, "hashes", width).join(block, "shingle").withColumn("start", F.col("place") - F.col("offset"))
             inside = met.where("start >= 0 AND start + n_words <= size(words)")
-            same = F.array_join(F.slice("words", F.col("start") + 1, F.col("n_words")), " ") == F.col("content")
+            same = lowered(F.array_join(F.slice("words", F.col("start") + 1, F.col("n_words")), " ")) == F.col("content")
             nothing = nothing.unionByName(inside.where(same).select("key", "content", "start", "n_words"))
     return nothing
 
@@ -119,7 +122,7 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW, seed: int = SE
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", _document_key().alias("key"), F.regexp_count(whole(F.col("text")), F.lit(CASED_WORD)).cast("long").alias("n_words"))
+    return docs.select("doc_id", _document_key().alias("key"), F.regexp_count(whole(F.col("text")), F.lit(WORD)).cast("long").alias("n_words"))
 
 
 def digests(docs: DataFrame, spans: DataFrame, met: DataFrame) -> DataFrame:
