@@ -16,11 +16,9 @@ CRITIC = "Critic Review"
 USER = "User Review"
 
 
-def listing_ranks(pages: DataFrame) -> DataFrame:
+def listing_ranks(pages: DataFrame, title: str = P.LISTED_TITLE, rank: str = P.LISTED_RANK) -> DataFrame:
     """(page_id, pos, title, rank) of a listing: the titles and rank texts paired by position."""
-    pairs = F.arrays_zip(
-        P.every(F.col("html"), P.LISTED_TITLE).alias("title"), P.every(F.col("html"), P.LISTED_RANK).alias("rank")
-    )
+    pairs = F.arrays_zip(P.every(F.col("html"), title).alias("title"), P.every(F.col("html"), rank).alias("rank"))
     return pages.select("page_id", F.posexplode(pairs).alias("pos", "pair")).select(
         "page_id", "pos", F.col("pair.title").alias("title"), whole_number(tidy(F.col("pair.rank"), RANK_EDGES)).alias("rank")
     )

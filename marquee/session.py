@@ -32,19 +32,24 @@ def session(app: str = "marquee", master: str | None = None, **extra: str) -> Sp
     return builder.getOrCreate()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it back.
-
-    Needed where a value depends on the physical row order (numbering) and must come out the same
-    when the plan is read twice or an executor is lost. The folder is the session's
-    ``spark.checkpoint.dir``; a cluster without one gets an error, a local session :data:`LOCAL_FOLDER`.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors reach; a local session without one gets :data:`LOCAL_FOLDER`."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = LOCAL_FOLDER
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's checkpoint folder and read it back.
+
+    Needed where a value depends on the physical row order (numbering) and must come out the same
+    when the plan is read twice or an executor is lost. See :func:`shared_folder`.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()

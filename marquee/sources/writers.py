@@ -31,14 +31,19 @@ def write_dimensions(dimensions: dict[str, DataFrame], folder: str) -> None:
         write_tsv(values, f"{folder}/{name}_tsv")
 
 
+def arranged(name: str, table: DataFrame) -> DataFrame:
+    """Movies and bridges range-partitioned and sorted by their whole key, so a lookup by movie skips most row
+    groups and a movie with very many rows still lies in many files. Reviews are in key order already."""
+    if "movie_id" not in PRIMARY_KEYS.get(name, ()):
+        return table
+    return table.repartitionByRange(*PRIMARY_KEYS[name]).sortWithinPartitions(*PRIMARY_KEYS[name])
+
+
 def write_tables(model: dict[str, DataFrame], folder: str) -> None:
-    """The relational model as one Parquet folder per table.
+    """The relational model as one Parquet folder per table, each arranged by its key.
 
-    Movies and bridges are range-partitioned and sorted by their whole key, so a lookup by movie skips most row
-    groups and a movie with very many rows still lies in many files. Reviews are in key order already.
+    Tables are replaced one by one, so a model must not be written over the folder it is read from: for that, and
+    for writes that appear as a whole, see :class:`marquee.sources.snapshots.Snapshots`.
     """
     for name in TABLES:
-        table = model[name]
-        if "movie_id" in PRIMARY_KEYS[name]:
-            table = table.repartitionByRange(*PRIMARY_KEYS[name]).sortWithinPartitions(*PRIMARY_KEYS[name])
-        table.write.mode("overwrite").parquet(f"{folder}/{name}")
+        arranged(name, model[name]).write.mode("overwrite").parquet(f"{folder}/{name}")

@@ -1,4 +1,4 @@
-"""The same queries as SQL for a single-node engine, written independently of the Spark plans."""
+"""The same queries as SQL for a single-node engine."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from ..functions.sentiment import WORD
 from ..functions.values import MISSING
 from ..functions.words import ENGLISH_STOP_WORDS, INTENSITY, NEGATORS, POLARITY
 from ..plans.search import KEYWORD, LISTS
-from ..schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS
-from .queries import ALLOWED_DOMAINS, DISTRIBUTOR, NEXT_TEXT, PERSON, SEARCHED, SIMILAR_TITLE, SOURCE, TAG, TITLE
+from ..schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS, TABLES
+from .queries import ALLOWED_DOMAINS, DISTRIBUTOR, INDEXED_PHRASES, INDEXED_WORDS, NEXT_TEXT, PERSON, SEARCHED, SIMILAR_TITLE, SOURCE, TAG, TITLE
 
 
 def _quoted(text: str) -> str:
@@ -418,4 +418,38 @@ ORACLE: dict[str, str] = {
     "next_pages": f"""WITH found AS (
         SELECT page_id, url, nullif(regexp_extract(html, '<a href="([^"]*)">{NEXT_TEXT}</a>', 1), '') AS href FROM pages)
       SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href AS next_url FROM found""",
+    "listing_pairs": """WITH lists AS (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS x,
+        regexp_extract_all(html, 'track\\((\\d+)\\)', 1) AS r FROM pages)
+      SELECT page_id, CAST(unnest(range(greatest(len(x), len(r)))) AS INTEGER) AS pos, unnest(x) AS title, CAST(unnest(r) AS BIGINT) AS rank FROM lists""",
+    "file_order_keys": "SELECT doc_id, row_number() OVER () AS review_id FROM documents",
+    "indexed_titles": " UNION ALL ".join(
+        f"SELECT '{state}' AS state, {_quoted(word)} AS keyword, p_partkey AS movie_id, name AS title "
+        f"FROM (SELECT p_partkey, {name} AS name FROM part) WHERE contains(lower(name), {_quoted(word.lower())})"
+        for state, name in (("before", "p_name"), ("after", "CASE WHEN p_size > 25 THEN p_name || ' II' ELSE p_name END"))
+        for word in INDEXED_WORDS
+    ),
+    "phrase_search": """WITH feed AS (SELECT 'documents' AS source, doc_id AS id, 0::BIGINT AS turn, text FROM documents
+        UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations UNION ALL SELECT 'benchmark', item_id, 0, text FROM benchmark)
+      """
+    + " UNION ALL ".join(
+        f"SELECT '{how}' AS how, {_quoted(phrase)} AS phrase, source, id, turn FROM feed WHERE contains(lower(text), {_quoted(phrase.lower())})"
+        for phrase in INDEXED_PHRASES
+        for how in ("words", "trigrams")
+    ),
+    "key_register": """WITH first AS (SELECT DISTINCT s_name AS name FROM supplier WHERE s_nationkey % 2 = 0),
+      one AS (SELECT name, row_number() OVER (ORDER BY lower(name), name) AS key FROM first),
+      added AS (SELECT name, (SELECT count(*) FROM first) + row_number() OVER (ORDER BY lower(name), name) AS key
+                FROM (SELECT DISTINCT s_name AS name FROM supplier WHERE s_name NOT IN (SELECT name FROM first))),
+      two AS (SELECT * FROM one UNION ALL SELECT * FROM added)
+      SELECT 1 AS load, name, key FROM one UNION ALL SELECT 2, name, key FROM two UNION ALL SELECT 3, name, key FROM two""",
+    "snapshot_model": f"WITH {MODEL} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n, '{reader}' AS reader FROM {name}" + (" WHERE movie_id % 2 = 0" if (name, reader) == ("stream_links", "late") else "")
+        for name in TABLES
+        for reader in ("early", "late")
+    )
+    + " UNION ALL SELECT 'long_movies', count(*), 'early' FROM movies WHERE runtime > 25"
+    + " UNION ALL SELECT 'long_movies', count(*), 'late' FROM movies WHERE runtime > 15",
+    "crawl_rounds": f"""WITH {LINKS} SELECT abs_url, min(page_id % 3) + 1 AS round FROM resolved
+      WHERE abs_url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages) GROUP BY abs_url""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,16 @@ from ..functions import values as V
 from ..functions.markup import Field, Group
 from ..functions.sentiment import label, polarity
 from ..operators import checks, lists, matching, numbering, pages, similar, stats
+from ..operators.crawl import SeenPages
+from ..operators.register import KeyRegister
 from ..plans import detail, lookup, search
+from ..plans.indexes import TextIndex
 from ..plans.model import build_model, model_summary, movies_table
 from ..plans.reviews import clean_reviews, distinct_values
+from ..schemas import TABLES as SCHEMAS
+from ..session import materialise, shared_folder
 from ..sources.readers import flatten, json_field
+from ..sources.snapshots import Snapshots
 from . import tables as A
 from .tables import Given, GivenModel
 
@@ -618,3 +625,113 @@ def frontier(t: Given) -> DataFrame:
 @query
 def next_pages(t: Given) -> DataFrame:
     return pages.next_pages(t.pages, rf'<a href="([^"]*)">{NEXT_TEXT}</a>').select("page_id", "next_url")
+
+
+@query
+def listing_pairs(t: Given) -> DataFrame:
+    return pages.listing_ranks(t.pages, title=r'<li><a href="[^"]*">([^<]*)</a></li>', rank=r"track\((\d+)\)")
+
+
+# Stored tables: each query builds its own under a name of its own, and drops it when its answers are settled.
+
+
+def own_name(kind: str) -> str:
+    return f"{kind}_{uuid4().hex}"
+
+
+@query
+def file_order_keys(t: Given) -> DataFrame:
+    return numbering.number_in_order(t.documents.select("doc_id"), "review_id")
+
+
+INDEXED_WORDS = ("SMALL", "ring", "re", "d w", "II")
+INDEXED_PHRASES = ("of the", "and, the", "ing th", "The")
+
+
+@query
+def indexed_titles(t: Given) -> DataFrame:
+    """Titles found by trigrams, before and after a batch renames some."""
+    index = TextIndex(t.spark, own_name("titles"))
+    renamed = F.concat("p_name", F.lit(" II"))
+
+    def found(state: str) -> DataFrame:
+        result = None
+        for word in INDEXED_WORDS:
+            rows = index.containing(word).select(
+                F.lit(state).alias("state"), F.lit(word).alias("keyword"), F.col("key").alias("movie_id"), F.col("text").alias("title")
+            )
+            result = rows if result is None else result.unionByName(rows)
+        return materialise(result)
+
+    try:
+        index.add(t.part.select(F.col("p_partkey").alias("key"), F.col("p_name").alias("text")))
+        before = found("before")
+        index.add(t.part.where("p_size > 25").select(F.col("p_partkey").alias("key"), renamed.alias("text")))
+        return before.unionByName(found("after"))
+    finally:
+        index.drop()
+
+
+@query
+def phrase_search(t: Given) -> DataFrame:
+    """Phrases in all texts by word positions, and the same keywords by trigrams."""
+    feed = (
+        t.documents.select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("turn"), "text")
+        .unionByName(t.conversations.select(F.lit("conversations").alias("source"), F.col("conv_id").alias("id"), "turn", "text"))
+        .unionByName(t.benchmark.select(F.lit("benchmark").alias("source"), F.col("item_id").alias("id"), F.lit(0).cast("long").alias("turn"), "text"))
+    )
+    index, result = TextIndex(t.spark, own_name("texts")), None
+    try:
+        index.add(feed.withColumn("key", F.xxhash64("source", "id", "turn")))
+        for phrase in INDEXED_PHRASES:
+            for how, rows in (("words", index.phrase(phrase)), ("trigrams", index.containing(phrase))):
+                rows = rows.select(F.lit(how).alias("how"), F.lit(phrase).alias("phrase"), "source", "id", "turn")
+                result = rows if result is None else result.unionByName(rows)
+        return materialise(result)
+    finally:
+        index.drop()
+
+
+@query
+def key_register(t: Given) -> DataFrame:
+    """Keys of names after a first load, a second one with all names, and the second one again."""
+    register, result = KeyRegister(t.spark, own_name("names")), None
+    try:
+        for number, names in enumerate((t.supplier.where("s_nationkey % 2 = 0"), t.supplier, t.supplier), 1):
+            rows = materialise(register.load(names, "s_name").select(F.lit(number).alias("load"), "name", "key"))
+            result = rows if result is None else result.unionByName(rows)
+        return result
+    finally:
+        register.drop()
+
+
+@query
+def snapshot_model(t: Given) -> DataFrame:
+    """Row counts of all tables as a reader sees them that began before a second commit, and as a later one does."""
+    model, snapshots = GivenModel(t), Snapshots(t.spark, f"{shared_folder(t.spark)}/{own_name('model')}")
+
+    def counted(reader: str, tables: dict[str, DataFrame]) -> DataFrame:
+        return stats.table_counts(tables | {"long_movies": tables["movies"].where("runtime > 25")}).withColumn("reader", F.lit(reader))
+
+    try:
+        snapshots.commit({name: model[name] for name in SCHEMAS})
+        early = snapshots.read()
+        longer = early["movies"].withColumn("runtime", F.col("runtime") + 10)
+        snapshots.commit({"movies": longer, "stream_links": early["stream_links"].where("movie_id % 2 = 0")})
+        return materialise(counted("early", early).unionByName(counted("late", snapshots.read())))
+    finally:
+        snapshots.drop()
+
+
+@query
+def crawl_rounds(t: Given) -> DataFrame:
+    """Pages that three rounds hand out, each round following the links of a third of the pages."""
+    seen = SeenPages(t.spark, own_name("seen"))
+    links = pages.resolve_links(pages.page_links(t.pages))
+    try:
+        seen.fetched(t.pages)
+        for part in range(3):
+            seen.next_round(links.where(F.col("page_id") % 3 == part))
+        return materialise(seen.rows().where("round > 0"))
+    finally:
+        seen.drop()
