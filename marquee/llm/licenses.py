@@ -2,11 +2,13 @@
 
 A notice with at most k edits, split into k + 1 pieces, holds at least one piece unchanged. An automaton finds
 these exact seeds in one pass over the text's words; every run of whole words around a seed that has the
-notice's naming words and is at most k edits from it is confirmed. Of runs of one notice that overlap, those
-with fewer edits stand. Runs as Arrow batches per partition: no shuffle, memory bounded by a batch of rows.
+notice's naming words is verified by the regular-expression library's matching with at most k errors. Of runs of one
+notice that overlap, those with fewer edits stand, then the earlier, then the shorter. Runs as Arrow batches per partition: no
+shuffle, memory bounded by a batch of rows.
 
 Defined results: a NULL text counts as empty (no words, no places, score 0); repeated rows each get their own
-answer; an empty table gives an empty result; other columns are ignored.
+answer; a very long text is walked once, whatever the number of its hits; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 # Exact phrases and their labels.
@@ -72,26 +75,33 @@ def seeds(notices: tuple) -> tuple:
     return automaton
 
 
+@lru_cache(maxsize=64)
+def patterns(notice: str, edits: int) -> list[regex.Pattern]:
+    """The notice with at most 0, 1, ... edits."""
+    return [regex.compile(f"(?:{regex.escape(notice, literal_spaces=True)}){{e<={most}}}") for most in range(edits + 1)]
+
+
 @lru_cache(maxsize=65536)
-def distance(text: str, notice: str) -> int:
-    """Insertions, deletions and changes of single signs between the two."""
-    row = list(range(len(notice) + 1))
-    for at, sign in enumerate(text):
-        before, row = row, [at + 1]
-        for place, own in enumerate(notice):
-            row.append(before[place] if sign == own else 1 + min(before[place], before[place + 1], row[place]))
-    return row[-1]
+def distance(text: str, notice: str, edits: int) -> int | None:
+    """The fewest edits with which the whole text is the notice, or None beyond ``edits``: bounded-error matching."""
+    if abs(len(text) - len(notice)) > edits or not patterns(notice, edits)[-1].fullmatch(text):
+        return None
+    return next(most for most, pattern in enumerate(patterns(notice, edits)) if pattern.fullmatch(text))
 
 
 def base_places(words: str) -> list[tuple[str, int]]:
-    """(label, word number) of each place where a phrase's words stand one after another."""
-    found = []
+    """(label, word number) of each place where a phrase's words stand one after another; blanks are counted once."""
+    hits = []
     for phrase, label in PHRASES.items():
         at = words.find(f" {phrase} ")
         while at >= 0:
-            found.append((label, words.count(" ", 0, at)))
+            hits.append((at, label))
             at = words.find(f" {phrase} ", at + 1)
-    return sorted(found, key=lambda place: (place[1], place[0]))
+    found, word, last = [], 0, 0
+    for at, label in sorted(hits):
+        word, last = word + words.count(" ", last, at), at
+        found.append((label, word))
+    return found
 
 
 def fuzzy_places(words: str, notices: tuple = NOTICES) -> list[tuple[str, int, int, int, str]]:
@@ -111,7 +121,7 @@ def fuzzy_places(words: str, notices: tuple = NOTICES) -> list[tuple[str, int, i
     for which, first, last in runs:
         notice, _, edits, exact = notices[which]
         text = words[first:last]
-        if set(exact).issubset(text.split(" ")) and (apart := distance(text, notice)) <= edits:
+        if set(exact).issubset(text.split(" ")) and (apart := distance(text, notice, edits)) is not None:
             near.append((apart, first, last, which))
     found, taken = [], {}
     for apart, first, last, which in sorted(near):
