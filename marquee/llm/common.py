@@ -76,6 +76,35 @@ def with_facts(rows: DataFrame, keys: list[str], spread: list[str], **facts: tup
     return salted.join(back, [*keys, "_salt"]).drop("_salt")
 
 
+def _places(steps: Column) -> Column:
+    """(start, end) of each (gap, width), by running sums in blocks of about the root of their number.
+
+    Appending to an array copies it, so blocks keep n hits from copying n * n / 2 spans.
+    """
+    width = F.ceil(F.sqrt(F.size(steps))).cast("int")
+    spans = "array<struct<start:int,end:int>>"
+    blocks = F.transform(F.sequence(F.lit(0), width), lambda block: F.slice(steps, block * width + 1, width))
+
+    def inside(at: Column, block: Column) -> Column:
+        def step(state, one):
+            end = state["at"] + one["gap"] + one["width"]
+            span = F.struct((end - one["width"]).alias("start"), end.alias("end"))
+            return F.when(one.isNull(), state).otherwise(F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")))
+
+        return F.aggregate(block, F.struct(at.alias("at"), F.array().cast(spans).alias("spans")), step, lambda state: state["spans"])
+
+    def started(cut: Column) -> Column:
+        sums = F.transform(cut, lambda block: F.aggregate(block, F.lit(0), lambda sum_, one: sum_ + F.coalesce(one["gap"] + one["width"], F.lit(0))))
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+
+        def step(state, length):
+            return F.struct((state["at"] + length).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+        return F.zip_with(F.aggregate(sums, none, step, lambda state: state["starts"]), cut, inside)
+
+    return F.flatten(F.get(F.transform(F.array(blocks), started), F.lit(0)))
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Leftmost non-overlapping matches: array of (start, end, value), ends exclusive, in code points.
 
@@ -89,14 +118,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         F.split(text, pattern, -1),
         lambda hit, gap: F.when(hit.isNotNull(), F.struct(F.length(gap).alias("gap"), F.length(hit).alias("width"))),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def step(state, one):
-        end = state["at"] + one["gap"] + one["width"]
-        span = F.struct((end - one["width"]).alias("start"), end.alias("end"))
-        return F.when(one.isNull(), state).otherwise(F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")))
-
-    spans = F.aggregate(steps, start, step, lambda state: state["spans"])
+    spans = F.get(F.transform(F.array(steps), _places), F.lit(0))
     joined = F.zip_with(
         spans,
         values,

@@ -77,13 +77,13 @@ def scan(
             candidates(whole(F.col(text))).alias("found"),
             F.coalesce(repository if repository is not None else F.col("source"), F.lit("")).alias("repository"),
             F.coalesce(owner if owner is not None else F.col("source"), F.lit("")).alias("owner"),
-        )
+        ).withColumn("row", F.xxhash64("found"))
     )
     hits = scanned.where(F.size("found") > 0).select(
-        "doc_id", "repository", "owner", "found", F.explode("found").alias("span")
+        "doc_id", "repository", "owner", "row", F.explode("found").alias("span")
     ).withColumn("value_sha256", F.sha2(F.col("span.value"), 256))
     counts = ownership(hits, "value_sha256", "repository", "owner")
-    places = hits.select("doc_id", F.xxhash64("found").alias("row"), "span", "value_sha256").distinct()
+    places = hits.select("doc_id", "row", "span", "value_sha256").distinct()
     value = F.col("span.value")
     looks_live = (F.size(F.array_distinct(F.split(value, ""))) >= LEAST_DISTINCT) & ~value.rlike(PLACEHOLDER)
     verdict = F.when(F.col("n_owners") > most_owners, COPIED).when(looks_live, LIVE)
@@ -96,8 +96,7 @@ def scan(
     answers = judged.withColumnRenamed("doc_id", "_id").withColumnRenamed("row", "_row")
     none = F.array().cast(judged.schema["judged"].dataType)
     return (
-        scanned.withColumn("row", F.xxhash64("found"))
-        .join(answers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left")
+        scanned.join(answers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left")
         .select("doc_id", F.array_sort(F.coalesce("judged", none)).alias("spans"))
     )
 
