@@ -102,7 +102,8 @@ def scan(
 
 
 def digests(scanned: DataFrame) -> DataFrame:
-    """Counts and span strings of the contract from :func:`scan`'s rows."""
+    """Counts and span strings of the contract from :func:`scan`'s rows, and in how many repositories and owners the
+    row's most copied value is."""
 
     def number(kind: str) -> Column:
         return F.size(F.filter("spans", lambda span: span["kind"] == kind)).cast("long")
@@ -125,4 +126,5 @@ def digests(scanned: DataFrame) -> DataFrame:
         written(everything).alias("spans"),
         F.size(F.filter("spans", lambda span: span["verdict"] == LIVE)).cast("long").alias("n_live"),
         F.size(F.filter("spans", lambda span: span["verdict"] == COPIED)).cast("long").alias("n_copied"),
+        *(F.coalesce(F.array_max(F.transform("spans", lambda span: span[name])), F.lit(0).cast("long")).alias(name) for name in ("n_repositories", "n_owners")),
     )

@@ -36,13 +36,13 @@ good AS (
     SELECT * FROM spans
     WHERE length(val) >= CASE kind WHEN 'assign' THEN 8 WHEN 'access' THEN 16 ELSE 32 END
 ), owners AS (
-    SELECT val, count(DISTINCT owner) AS n_owners FROM good GROUP BY val
+    SELECT val, count(DISTINCT owner) AS n_owners, count(DISTINCT (owner, repository)) AS n_repositories FROM good GROUP BY val
 ), judged AS (
     SELECT doc_id, e - length(val) AS s, e,
            CASE WHEN n_owners > 2 THEN 'copied'
                 WHEN len(list_distinct(string_split(val, ''))) >= 6
                      AND NOT regexp_matches(val, '(?i)example|changeme|placeholder|your_|dummy|xxxx|1234567') THEN 'live' END AS kind,
-           good.kind AS of
+           good.kind AS of, n_owners, n_repositories
     FROM good JOIN owners USING (val)
 ), listed AS (
     SELECT doc_id, s, place, kind, e FROM good
@@ -55,12 +55,14 @@ good AS (
            count(*) FILTER (kind = 'hex') AS n_hex
     FROM listed GROUP BY doc_id
 ), verdicts AS (
-    SELECT doc_id, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (kind = 'copied') AS n_copied
+    SELECT doc_id, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (kind = 'copied') AS n_copied,
+           max(n_repositories) AS n_repositories, max(n_owners) AS n_owners
     FROM judged GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+       coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied,
+       coalesce(n_repositories, 0) AS n_repositories, coalesce(n_owners, 0) AS n_owners
 FROM documents d LEFT JOIN joined USING (doc_id) LEFT JOIN verdicts USING (doc_id)
 """
 
