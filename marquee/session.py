@@ -53,3 +53,9 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that a job wrote for itself."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

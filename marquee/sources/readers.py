@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CATALOG_EITHER, CLEANED, INFO, PAGES, REVIEWS, TABLES
+from .splits import read_json_arrays, read_tables_of_values
 
 # A quote inside a value is doubled, so any CSV reader gets tabs, quotes and line ends back.
 TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True}
 
 
 def _json(spark: SparkSession, path: str, schema: T.StructType, one_array: bool) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=one_array)
+    return read_json_arrays(spark, path, schema) if one_array else spark.read.schema(schema).json(path)
 
 
 def read_catalog(spark: SparkSession, path: str, one_array: bool = False) -> DataFrame:
     """Movie records, nested or flat on disk, as nested rows.
 
-    JSON Lines are read in splits. ``one_array`` reads files that are a single JSON array each, which one task
-    must take whole; use it for such files only.
+    JSON Lines are read in one pass. ``one_array`` reads files that are a single JSON array each, in splits too, but in
+    two passes (:mod:`.splits`).
     """
     records = _json(spark, path, CATALOG_EITHER, one_array)
     flat = F.struct(*[F.col(name) for name in INFO.names])
@@ -33,11 +34,11 @@ def read_reviews(spark: SparkSession, path: str, one_array: bool = False) -> Dat
 
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned reviews: a TSV folder or file with a header."""
-    return spark.read.schema(CLEANED).csv(path, **TSV)
+    return read_tables_of_values(spark, path, CLEANED, **TSV)
 
 
 def read_dimension(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
-    return spark.read.schema(T.StructType([T.StructField(name, T.StringType())])).csv(path, **TSV)
+    return read_tables_of_values(spark, path, T.StructType([T.StructField(name, T.StringType())]), **TSV)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..schemas import PRIMARY_KEYS, TABLES
 
@@ -25,6 +29,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """Files that are a single JSON array each, one object a line."""
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                lines = []
+                for text in batch.column("value").slice(start, 1000).to_pylist():
+                    lines.append(before)
+                    before = text + ","
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([before.removesuffix(","), "]"], pa.string())], names=["value"])
+
+    texts = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    texts.mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)
+
+
 def write_dimensions(dimensions: dict[str, DataFrame], folder: str) -> None:
     """One TSV folder per dimension, named ``<dimension>_tsv``."""
     for name, values in dimensions.items():

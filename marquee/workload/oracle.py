@@ -450,6 +450,9 @@ ORACLE: dict[str, str] = {
     )
     + " UNION ALL SELECT 'long_movies', count(*), 'early' FROM movies WHERE runtime > 25"
     + " UNION ALL SELECT 'long_movies', count(*), 'late' FROM movies WHERE runtime > 15",
+    "split_files": " UNION ALL ".join(
+        f"SELECT '{how}' AS format, doc_id, coalesce(text, '') AS text, source FROM documents" for how in ("json", "tsv")
+    ),
     "crawl_rounds": f"""WITH {LINKS} SELECT abs_url, min(page_id % 3) + 1 AS round FROM resolved
       WHERE abs_url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages) GROUP BY abs_url""",
 }

@@ -23,7 +23,8 @@ from ..plans.indexes import TextIndex
 from ..plans.model import build_model, model_summary, movies_table
 from ..plans.reviews import clean_reviews, distinct_values
 from ..schemas import TABLES as SCHEMAS
-from ..session import materialise, shared_folder
+from ..session import materialise, remove_folder, shared_folder
+from ..sources import readers, splits, writers
 from ..sources.readers import flatten, json_field
 from ..sources.snapshots import Snapshots
 from . import tables as A
@@ -723,6 +724,25 @@ def snapshot_model(t: Given) -> DataFrame:
         snapshots.drop()
 
 
+@query
+def split_files(t: Given) -> DataFrame:
+    """Documents written as JSON arrays and as values with line breaks, and read back in splits."""
+    folder = f"{shared_folder(t.spark)}/{own_name('files')}"
+    docs = t.documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.struct("source", "lang").alias("origin"))
+    flat = docs.select("doc_id", "text", "origin.source")
+    writers.write_json_arrays(docs, f"{folder}/json")
+    writers.write_tsv(flat, f"{folder}/tsv")
+    nested = splits.read_json_arrays(t.spark, f"{folder}/json", docs.schema)
+    values = splits.read_tables_of_values(t.spark, f"{folder}/tsv", flat.schema, **readers.TSV)
+    read = nested.select(F.lit("json").alias("format"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), "origin.source").unionByName(
+        values.select(F.lit("tsv").alias("format"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), "source")
+    )
+    try:
+        return materialise(read)
+    finally:
+        remove_folder(t.spark, folder)
+
+
 @query
 def crawl_rounds(t: Given) -> DataFrame:
     """Pages that three rounds hand out, each round following the links of a third of the pages."""

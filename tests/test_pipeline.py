@@ -60,7 +60,7 @@ def records(spark, folder):
     nested = [{"info": i, "meta_score": score(c), "user_score": score(u)} for i, c, u in MOVIES]
     path = folder / "movies.json"
     path.write_text(json.dumps(nested, indent=2))
-    return readers.read_catalog(spark, str(path), one_array=True)
+    return readers.read_catalog(spark, str(path), one_array=True).cache()
 
 
 @pytest.fixture(scope="module")
@@ -70,7 +70,7 @@ def cleaned(spark, folder):
     path.write_text(json.dumps([dict(zip(names, row)) for row in REVIEWS], indent=1))
     out = str(folder / "cleaned_reviews")
     writers.write_tsv(clean_reviews(readers.read_reviews(spark, str(path), one_array=True)), out)
-    return readers.read_cleaned(spark, out)
+    return readers.read_cleaned(spark, out).cache()
 
 
 @pytest.fixture(scope="module")
