@@ -24,10 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise
+
 SPLIT = ["file", "block"]
 FOLD = "file string, block long, flips int, net_out long, net_in long"
 PARTS = "file string, block long, kind int, text string"
 WHOLE, HEAD, TAIL = 0, 1, 2
+FEW_SPLITS = 80_000
 
 
 def _count(text: Column, sign: str) -> Column:
@@ -168,13 +171,14 @@ def _joined(parts: DataFrame) -> DataFrame:
 
 def _records(pieces: DataFrame, close: int, end: str, header: bool = False) -> DataFrame:
     """``text`` of every record; ``close`` says how many objects a piece's end closes."""
-    starts = _begun(_folded(pieces, close)).withColumnsRenamed({"file": "_file", "block": "_block"})
-    known = pieces.join(starts, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")), "left")
+    starts = materialise(_begun(_folded(pieces, close)).withColumnsRenamed({"file": "_file", "block": "_block"}))
+    few = starts.count() <= FEW_SPLITS
+    known = pieces.join(F.broadcast(starts) if few else starts, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")), "left")
     # Should the splits be planned otherwise the second time, nothing is guessed.
     sure = F.when(F.col("inside").isNotNull(), F.col("inside")).otherwise(F.raise_error(F.lit("a file's splits changed while it was read")))
     chosen = known.select(*SPLIT, "place", "value", "flips", "open_out", "open_in", sure.cast("int").alias("inside"), "depth")
-    # No shuffle and next to no work where the few starts are broadcast; the order again where they are not.
-    return _joined(_cut(chosen.sortWithinPartitions(*SPLIT, "place"), close, end, header))
+    # A join with what is broadcast leaves the pieces as they were read; any other needs their order again.
+    return _joined(_cut(chosen if few else chosen.sortWithinPartitions(*SPLIT, "place"), close, end, header))
 
 
 def json_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:

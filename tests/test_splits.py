@@ -66,6 +66,20 @@ def test_tables_with_line_breaks(spark, tmp_path, small_splits):
     assert in_order(splits.read_tables_of_values(spark, path, schema, **readers.TSV)) == in_order(whole)
 
 
+def test_more_splits_than_are_broadcast(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(splits, "FEW_SPLITS", 0)
+    (tmp_path / "one.json").write_text(json.dumps(made(9, 60)))
+    found = splits.read_json_arrays(spark, str(tmp_path), SCHEMA)
+    assert in_order(found) == in_order(spark.read.schema(SCHEMA).json(str(tmp_path), multiLine=True))
+
+
+def test_texts_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps(made(1)))
+    plan = splits.json_texts(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    # The only exchanges are above the pieces of records that cross an edge.
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") <= 2
+
+
 def test_edges(spark, tmp_path):
     for name, text in {"empty": "", "none": "[]\n", "spaces": " [ ] ", "lines": '{"id": 1}\n{"id": 2}', "one": '[{"id": 3, "inner": {"a": "}"}}]'}.items():
         (tmp_path / f"{name}.json").write_text(text)
