@@ -6,20 +6,25 @@ are decimals: sums come out the same in any order, and equal scores compare as e
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_stop_words, fold_tags
 from ..functions.words import ENGLISH_STOP_WORDS
 from ..session import materialise
-from .numbering import first_rows
+from .numbering import first_rows, number_rows
 from .skew import hot_counts, skew_join
 
 TOKEN = r"(?U)\b\w\w+\b"
 WEIGHT = "decimal(16,7)"
 PRODUCT = "decimal(38,14)"
-RUNNING = "decimal(30,14)"  # adding two of these keeps all places
-LEVELS = 32  # steps of the parts that sets meet on
+UNIT = 10**7  # of a weight as a whole number
+ASKING, OFFERED = 1024, 16_384  # tag sets of a run, fewer when they have more than so many tokens each:
+PACK_TOKENS = 64
 
 
 def tag_tokens(tags: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS) -> Column:
@@ -156,113 +161,117 @@ def similar_to(
     return first_rows(best, count, [F.desc("score"), "other"], "rk")
 
 
-def _postings(vectors: DataFrame) -> DataFrame:
-    """(tag_key, square, token, part): per token of a set, the length of the vector from this token on.
-
-    Tokens are taken from the rarest to the commonest, and ``part`` is relative to the whole length. Two sets whose
-    rarest common token is this one share nothing before it, so their cosine is at most the product of their parts.
-    """
-    rare_last = F.reverse(
-        F.array_sort(
-            F.transform("entries", lambda entry: F.struct((-entry["idf"]).alias("common"), entry["token"].alias("token"), entry["weight"].alias("weight")))
-        )
-    )
-    start = F.struct(
-        F.lit(0).cast(RUNNING).alias("sum"), F.array().cast(f"array<struct<token:string,sum:{RUNNING}>>").alias("seen")
-    )
-
-    def step(state: Column, entry: Column) -> Column:
-        total = (state["sum"] + (entry["weight"] * entry["weight"]).cast(RUNNING)).cast(RUNNING)
-        seen = F.array(F.struct(entry["token"].alias("token"), total.alias("sum")))
-        return F.struct(total.alias("sum"), F.concat(state["seen"], seen).alias("seen"))
-
-    suffixes = F.aggregate(rare_last, start, step, lambda state: state["seen"])
-    rows = vectors.select("tag_key", "members", "square", F.inline(suffixes))
-    return rows.select("tag_key", "members", "square", "token", F.sqrt(F.col("sum").cast("double") / F.col("square").cast("double")).alias("part"))
-
-
-def _pair_scores(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(tag_key, other_key, score) of pairs of sets."""
-    mine = vectors.select(
-        "tag_key", "square", F.transform("entries", lambda e: e["token"]).alias("tokens"), F.transform("entries", lambda e: e["weight"]).alias("weights")
-    )
-    others = mine.select(*(F.col(name).alias(f"other_{name.removeprefix('tag_')}") for name in mine.columns))
-    joined = pairs.join(mine, "tag_key").join(others, "other_key")
+def _numbered_sets(keyed: DataFrame, item: str) -> DataFrame:
+    """(tag_key, members, first, number): the tag sets that have tokens, numbered from 0 by their lowest item."""
+    sets = keyed.where(F.col("tag_key") != "").groupBy("tag_key").agg(F.count("*").alias("members"), F.min(item).alias("first"))
+    return number_rows(sets, "number", ["first"], start=0)
 
-    def weight(prefix: str, token: Column) -> Column:
-        return F.element_at(f"{prefix}weights", F.array_position(f"{prefix}tokens", token).cast("int"))
 
-    dot = F.aggregate(
-        F.array_intersect("tokens", "other_tokens"),
-        F.lit(0).cast(RUNNING),
-        lambda total, token: (total + (weight("", token) * weight("other_", token)).cast(RUNNING)).cast(RUNNING),
+def _packs(entries: DataFrame, size: int, parts: int) -> DataFrame:
+    """One row per run of ``size`` set numbers: the (number, token, weight, root) entries of its sets as arrays, a partition each."""
+    packed = entries.groupBy(F.floor(F.col("number") / size).alias("pack")).agg(
+        *(F.collect_list(name).alias(f"{name}s") for name in ("number", "token", "weight", "root"))
     )
-    return joined.select("tag_key", "other_key", _cosine(dot, F.col("square"), F.col("other_square")).alias("score"))
+    return materialise(packed.repartitionByRange(parts, "pack"))
 
 
-def _bounds(postings: DataFrame, vectors: DataFrame, wanted: int) -> DataFrame:
-    """(tag_key, bound): a score that at least ``wanted`` items reach for the set, 0 when too few were met.
+def _closest(asking: tuple, offered: tuple, wanted: int, wide: bool) -> Iterator[tuple]:
+    """(number, others, scores) of each asking set: its ``wanted`` best offered sets, ties to the lower number.
 
-    Every set is scored against the ``wanted`` sets with the shortest vectors of each of its tokens.
+    Dot products are added up as whole numbers, so equal scores are equal: 64 bits hold them unless ``wide``.
     """
-    shortest = Window.partitionBy("token").orderBy("square", "tag_key")
-    heads = postings.withColumn("_place", F.row_number().over(shortest)).where(F.col("_place") <= wanted)
-    heads = heads.select("token", F.col("tag_key").alias("other_key"))
-    pairs = postings.select("tag_key", "token").join(heads, "token").select("tag_key", "other_key").distinct()
-    scored = _pair_scores(pairs, vectors).join(vectors.select(F.col("tag_key").alias("other_key"), "members"), "other_key")
-    best = Window.partitionBy("tag_key").orderBy(F.desc("score"), "other_key")
-    met = F.sum("members").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    reached = scored.withColumn("_met", met).where(F.col("_met") >= wanted)
-    return reached.groupBy("tag_key").agg(F.max("score").alias("bound"))
-
-
-def _close_pairs(postings: DataFrame, bounds: DataFrame) -> DataFrame:
-    """(tag_key, other_key) of every pair of sets that may reach the first one's bound.
-
-    Sets meet on (token, level of their part). A set asks only for levels whose part, times its own, can
-    reach its bound; from its common tokens it mostly asks for none, which keeps pairs out of a popular
-    token's group instead of forming and dropping them.
+    kind = object if wide else np.int64
+    numbers, tokens, weights, roots = offered
+    others, place = np.unique(numbers, return_inverse=True)
+    other_roots = np.empty(len(others))
+    other_roots[place] = roots
+    order = np.argsort(tokens, kind="stable")
+    place, weights = place[order], weights[order].astype(kind)
+    known, starts = np.unique(tokens[order], return_index=True)
+    postings = dict(zip(known.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(order)])))
+
+    numbers, tokens, weights_, roots = asking
+    order = np.argsort(numbers, kind="stable")
+    mine, starts = np.unique(numbers[order], return_index=True)
+    for number, rows in zip(mine.tolist(), np.split(order, starts[1:])):
+        dot = np.zeros(len(others), kind)
+        for token, weight in zip(tokens[rows].tolist(), weights_[rows].tolist()):
+            start, end = postings.get(token, (0, 0))
+            dot[place[start:end]] += weights[start:end] * weight
+        about = dot.astype(float) / other_roots
+        least = np.partition(about, -wanted)[-wanted] * (1 - 1e-12) if len(about) > wanted else 0.0
+        near = np.flatnonzero((about >= least) & (about > 0))
+        # As the decimal is cast to a double: the quotient of whole numbers is rounded once.
+        values, at = np.unique(dot[near], return_inverse=True)
+        exact = np.array([int(value) / UNIT**2 for value in values.tolist()])
+        scores = exact[at] / (roots[rows[0]] * other_roots[near])
+        best = np.lexsort((near, -scores))[:wanted]
+        yield number, others[near[best]], scores[best]
+
+
+def _best_sets(vectors: DataFrame, wanted: int) -> DataFrame:
+    """(number, other, score): the ``wanted`` best sets for every set, itself among them; ties go to the lower number.
+
+    Runs of sets meet in pairs, each pair in a task of its own: no pair of sets is ever a row, only the best of a
+    run are. The work is that of all pairs of sets with a common token, a multiplication each.
     """
-    slack = 1 - 1e-9
-    asking = postings.join(bounds, "tag_key", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)) * slack)
-    needed = F.col("bound") / F.col("part")
-    asking = asking.where(needed <= 1).select(
-        "tag_key", "token", "part", "bound", F.explode(F.sequence(F.floor(needed * LEVELS).cast("int"), F.lit(LEVELS))).alias("level")
-    )
-    offered = postings.select(
-        F.col("tag_key").alias("other_key"), "token", F.col("part").alias("other_part"),
-        F.least(F.floor(F.col("part") * LEVELS), F.lit(LEVELS)).cast("int").alias("level"),
-    )
-    met = asking.join(offered, ["token", "level"]).where(F.col("part") * F.col("other_part") >= F.col("bound"))
-    return met.select("tag_key", "other_key").distinct()
+    facts = vectors.agg(F.count("*"), F.sum(F.size("entries")), F.max("square").cast("double")).first()
+    sets, entries, longest = facts[0], facts[1] or 0, facts[2] or 0.0
+    wide = longest * UNIT**2 >= 2.0**62  # no dot product is larger than the longest square
+    rows = vectors.select("number", F.sqrt(F.col("square").cast("double")).alias("root"), F.inline("entries"))
+    rows = rows.select("number", "token", (F.col("weight") * UNIT).cast("long").alias("weight"), "root")
+
+    def packs(limit: int) -> DataFrame:
+        size = max(1, min(limit, limit * PACK_TOKENS * sets // max(entries, 1)))
+        return _packs(rows, size, max(1, -(-sets // size)))
+
+    asking, offered = packs(ASKING), packs(OFFERED)
+    columns = ("numbers", "tokens", "weights", "roots")
+    pairs = asking.select(*columns).crossJoin(offered.select(*(F.col(name).alias(f"other_{name}") for name in columns)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                arrays = [column[row].values.to_numpy(zero_copy_only=False) for column in batch.columns]
+                found = list(_closest(tuple(arrays[:4]), tuple(arrays[4:]), wanted, wide))
+                counts = [len(others) for _, others, _ in found]
+                numbers = np.repeat(np.array([number for number, *_ in found], np.int64), counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers), pa.array(np.concatenate([others for _, others, _ in found])), pa.array(np.concatenate([scores for *_, scores in found]))],
+                    names=["number", "other", "score"],
+                )
+
+    best = Window.partitionBy("number").orderBy(F.desc("score"), "other")
+    scored = pairs.mapInArrow(run, "number long, other long, score double")
+    return scored.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted).drop("_place")
 
 
 def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10) -> DataFrame:
     """(item, other, score, rk): for every item the ``count`` most similar others, exact, ties to the lower id.
 
-    Works on distinct tag sets, with any number of tags. A first look at the shortest vectors of each token
-    gives every set a score that its best ``count + 1`` items reach or pass; then only pairs that may reach it are
-    scored (:func:`_close_pairs`). Which pairs are left out follows from the bounds alone, so none is lost. The
-    vectors, one row per tag set, are read in nine places and settled once.
+    Works on distinct tag sets, with any number of tags. Sets are numbered by their lowest item, and tokens are numbered
+    too, so runs of sets are plain arrays; every run is scored against every other (:func:`_best_sets`). The
+    items' keys and the vectors, one row per tag set, are settled once.
     """
     wanted = count + 1
-    keyed = with_tag_key(items, tags).select(item, "tag_key")
+    keyed = materialise(with_tag_key(items, tags).select(item, "tag_key"))
     sets = tag_sets(keyed)
-    vectors = materialise(set_vectors(sets).join(sets, "tag_key"))
-    postings = _postings(vectors)
-    pairs = _close_pairs(postings, _bounds(postings, vectors, wanted))
-    members = _first_members(keyed, item, wanted).withColumnRenamed(item, "other").withColumnRenamed("tag_key", "other_key")
-    first = members.groupBy("other_key").agg(F.min("other").alias("_first"))
+    numbered = _numbered_sets(keyed, item)
+    vocabulary = number_rows(idf(sets).select(F.col("token").alias("word"), "idf"), "token", ["word"])
+    tokens = _set_tokens(numbered.select("tag_key", "members")).select("tag_key", F.col("token").alias("word"), "tf")
+    weighted = tokens.join(vocabulary, "word").select("tag_key", "token", (F.col("tf") * F.col("idf")).cast(WEIGHT).alias("weight"))
+    gathered = weighted.groupBy("tag_key").agg(F.collect_list(F.struct("token", "weight")).alias("entries"), _square().alias("square"))
+    vectors = materialise(gathered.join(numbered.select("tag_key", "number"), "tag_key").select("number", "entries", "square"))
+    best_sets = _best_sets(vectors, wanted)
     # Each of the best items is in one of the best sets, ordered by score and lowest item.
-    scored = _pair_scores(pairs, vectors).join(first, "other_key")
-    best_sets = Window.partitionBy("tag_key").orderBy(F.desc("score"), "_first")
-    sets_kept = scored.withColumn("_place", F.row_number().over(best_sets)).where(F.col("_place") <= wanted)
-    best = Window.partitionBy("tag_key").orderBy(F.desc("score"), "other")
-    found = sets_kept.drop("_place", "_first").join(members, "other_key")
-    kept = found.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted)
-    lists = kept.groupBy("tag_key").agg(F.array_sort(F.collect_list(F.struct("_place", "other", "score"))).alias("best"))
-
-    rows = _to_items(keyed, sets, lists, item)
+    names = numbered.select("tag_key", "number")
+    members = _first_members(keyed, item, wanted).withColumnRenamed(item, "other_item").join(names.withColumnRenamed("number", "other"), "tag_key").drop("tag_key")
+    best = Window.partitionBy("number").orderBy(F.desc("score"), "other_item")
+    kept = best_sets.join(members, "other").withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted)
+    entry = F.struct("_place", F.col("other_item").alias("other"), "score")
+    lists = kept.groupBy("number").agg(F.array_sort(F.collect_list(entry)).alias("best"))
+
+    rows = _to_items(keyed, sets, lists.join(names, "number").select("tag_key", "best"), item)
     others = F.slice(F.filter("best", lambda entry: entry["other"] != F.col(item)), 1, count)
     return rows.select(item, F.posexplode(others).alias("_at", "_best")).select(
         item, F.col("_best.other").alias("other"), F.col("_best.score").alias("score"), (F.col("_at") + 1).alias("rk")

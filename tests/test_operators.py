@@ -326,6 +326,24 @@ def test_similar_top_equals_all_pairs(spark):
         assert [score for *_, score in sorted(top.get(number, []))] == pytest.approx([score for *_, score in want], abs=1e-7)
 
 
+def test_similar_top_forms_no_rows_of_pairs(spark, monkeypatch):
+    """Many runs of sets, ties within and across them, and weights beyond 64 bits give what all pairs give."""
+    monkeypatch.setattr("marquee.operators.similar.ASKING", 7)
+    monkeypatch.setattr("marquee.operators.similar.OFFERED", 16)
+    rng = random.Random(5)
+    for repeated in (1, 40_000):
+        items = [(n, ["common"] * (repeated if n == 3 else 1) + rng.sample([f"t{at:02}" for at in range(12)], 3)) for n in range(90)]
+        df = spark.createDataFrame(items, "item long, tags array<string>")
+        top = similar.similar_top(df, "item", count=5)
+        assert "array_intersect" not in top._jdf.queryExecution().toString()
+        found = defaultdict(list)
+        for row in top.orderBy("item", "rk").collect():
+            found[row["item"]].append((row["other"], row["score"]))
+        for item in (0, 3, 40, 89):
+            one = similar.similar_to(df, "item", F.col("item") == item, count=5).orderBy("rk").collect()
+            assert found[item] == [(row["other"], row["score"]) for row in one]
+
+
 def test_tfidf_vectors_have_length_one(spark, tagged):
     df = spark.createDataFrame(tagged, "item long, tags array<string>")
     lengths = similar.tfidf(df, "item").groupBy("item").agg(F.sum(F.col("weight") ** 2).alias("l")).collect()
