@@ -77,6 +77,23 @@ def test_many_candidates_and_blocks(spark, index, monkeypatch):
     assert held.count() > 5 and held.agg(F.max(F.size("entries"))).first()[0] <= 40
 
 
+def test_postings_are_lists_of_blocks(spark, index, monkeypatch):
+    """A trigram or word is one row per block, however many texts of the block have it."""
+    monkeypatch.setattr("marquee.plans.indexes.BLOCK_TEXTS", 64)
+    rows = texts(4, 400) + [(900 + at, "the the ring. " * at, "k") for at in range(20)]
+    index.add(frame(spark, rows))
+    index.add(frame(spark, [(3, "ring the", "k"), (905, "the ring the", "k")]))
+    last = dict((key, text) for key, text, _ in rows) | {3: "ring the", 905: "the ring the"}
+    for kind, name, most in (("grams", "gram", "the"), ("words", "word", "the")):
+        held = index.table(kind)
+        assert held.where(F.col(name) == most).count() <= 8
+        assert held.count() == held.select(name, "block").distinct().count()
+    for word in ("the ring", "ring the", "the the", "ring. the", "he ri"):
+        want = sorted(key for key, text in last.items() if word in text.lower())
+        assert sorted(row["key"] for row in index.phrase(word).collect()) == want, word
+        assert sorted(row["key"] for row in index.containing(word).collect()) == want, word
+
+
 def test_plan_reads_some_buckets_and_no_other_text(spark, index):
     index.add(frame(spark, texts(3, 300) + [(999, "a rare zqj word", "k")]))
     plan = index.containing("zqj")._jdf.queryExecution().executedPlan().treeString()
