@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS
@@ -35,12 +35,19 @@ def out_of_range(df: DataFrame, column: str, kind: str) -> DataFrame:
 def table_violations(df: DataFrame, keys: list[str], limits: dict[str, int]) -> DataFrame:
     """(check, columns, violations) of the primary key and the lengths of one table, in one pass.
 
-    Rows are combined per key, which counts repeated keys and adds up the long texts, then to one row.
+    Rows are combined per key, which counts repeated keys and adds up the long texts, then to one row. Without texts
+    to look at, as in the long bridges, a repeated key is one second row: rows are sorted, which holds less than
+    a hash table of all keys and may spill, and no more than two rows of a key are moved.
     """
-    long = [F.coalesce(F.count_if(F.length(column) > limit), F.lit(0)).alias(f"_long{at}") for at, (column, limit) in enumerate(limits.items())]
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"), *long)
-    sums = [F.coalesce(F.sum(f"_long{at}"), F.lit(0)).alias(f"_long{at}") for at in range(len(limits))]
-    totals = per_key.agg(F.count_if(F.col("_n") > 1).alias("_repeated"), *sums)
+    if limits:
+        long = [F.coalesce(F.count_if(F.length(column) > limit), F.lit(0)).alias(f"_long{at}") for at, (column, limit) in enumerate(limits.items())]
+        per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"), *long)
+        sums = [F.coalesce(F.sum(f"_long{at}"), F.lit(0)).alias(f"_long{at}") for at in range(len(limits))]
+        totals = per_key.agg(F.count_if(F.col("_n") > 1).alias("_repeated"), *sums)
+    else:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+        seconds = df.select(*keys).withColumn("_place", place).where(F.col("_place") == 2)
+        totals = seconds.agg(F.count("*").alias("_repeated"))
     rows = [F.struct(F.lit("primary key").alias("check"), F.lit(",".join(keys)).alias("columns"), F.col("_repeated").alias("violations"))]
     rows += [F.struct(F.lit("length").alias("check"), F.lit(column).alias("columns"), F.col(f"_long{at}").alias("violations")) for at, column in enumerate(limits)]
     return totals.select(F.inline(F.array(*rows)))

@@ -103,6 +103,16 @@ def test_lists_follow_names_and_pages_are_lazy(spark):
     assert rows_of(found) == [(7, 0, "Ann,bob,Cy"), (7, 1, "Zed"), (8, 0, "Zed"), (9, 0, "N/A")]
 
 
+def test_repeated_keys_without_a_table_of_all_keys(spark):
+    rows = [(n, n % 3) for n in range(50)] + [(7, 1)] * 500 + [(8, 2), (None, 1), (None, 1), (None, None)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    found = checks.table_violations(df, ["a", "b"], {})
+    assert [tuple(row) for row in found.collect()] == [("primary key", "a,b", 3)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[a" not in plan and "WindowGroupLimit" in plan
+    assert checks.table_violations(df.limit(0), ["a", "b"], {}).first()["violations"] == 0
+
+
 def test_model_checks_scan_each_table_once(spark, tmp_path):
     from marquee.operators.checks import table_violations
 
