@@ -8,11 +8,10 @@ meets in some table with probability (1 - (1 - s ** ROWS) ** COLLECTION) ** 2: 0
 Documents with the same shingle set are one class with one representative. In each table bucket the smallest
 representative leads. Every document is first compared on the full sets with the smallest of its leaders, and the
 pairs found tie it to that leader; other leaders are asked only about documents that are not tied to the same
-one already, and what all of them tell is united. Members that are then not in their leader's component are compared with the leader's other
-members, but only those of another component, whose distance from the leader differs by no more than the link distance (Jaccard distance is a metric, so no other pair
-can link), whose sizes allow it, and whose minhashes agree about as often as the threshold asks for. So a large
-group of copies stays linear, and documents that merely share a passage are told apart before their texts are
-fetched.
+one already, and what all of them tell is united. Members that are then not in their leader's component, its strays, are
+compared on the full sets with all of the leader's members: runs of strays meet runs of members as arrays, a pair of runs
+in a row, and only links that tie two components leave the task. So no pair of documents is ever a row but those
+with a leader, and a large group of near copies, however alike, makes as many rows as it has members and runs.
 
 Defined results: letters A-Z are lowered, words are what stands between ASCII blanks; a NULL text counts as
 empty; an empty one has no set and links with nothing; fewer words than a shingle has are one shingle; rows of
@@ -38,12 +37,11 @@ PERCENT = 80
 COLLECTION, ROWS = 11, 3
 REMEMBERED = 100_000
 BATCH = 250
-# Of the minhashes' low bytes two documents at the link threshold share 53 on average, and fewer than these with
-# probability 1e-4.
-LEAST_ALIKE, LIKELY_ALIKE = 40, 53
+# Bytes of texts in a run of strays or members, and pairs of runs that a task takes at a time.
+RUN, RUNS_AT_ONCE = 1 << 21, 4
 # Sets of fewer members reach 80 % only with themselves.
 LEAST_SET = 4
-SIGNATURE = "doc_id long, n_shingles long, set_hash string, left array<long>, right array<long>, sketch array<byte>"
+SIGNATURE = "doc_id long, n_shingles long, set_hash string, left array<long>, right array<long>"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -83,8 +81,8 @@ def shingles(text: str, words: int = SHINGLE) -> np.ndarray:
 _SEEDS = _mixed(np.arange(1, 2 * COLLECTION * ROWS + 1, dtype=np.uint64) * _ODD)
 
 
-def bands(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """2 * COLLECTION band hashes, one half for either collection, and the low bytes of all minhashes."""
+def bands(members: np.ndarray) -> np.ndarray:
+    """2 * COLLECTION band hashes, one half for either collection."""
     least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(members), 4096):
         block = (members[None, start : start + 4096] ^ _SEEDS[:, None]) * _ODD
@@ -95,7 +93,7 @@ def bands(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     hashed = rows[:, 0]
     for at in range(1, ROWS):
         hashed = _mixed(hashed * _ODD + rows[:, at])
-    return hashed.view(np.int64), least.astype(np.uint8).view(np.int8)
+    return hashed.view(np.int64)
 
 
 def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -103,19 +101,18 @@ def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, sets, left, right, sketches = [], [], [], [], []
+            sizes, sets, left, right = [], [], [], []
             for text in batch.column("text").to_pylist():
                 members = shingles(text, words)
-                hashes, sketch = bands(members) if len(members) >= LEAST_SET else (np.empty(0, np.int64), np.empty(0, np.int8))
+                hashes = bands(members) if len(members) >= LEAST_SET else np.empty(0, np.int64)
                 sizes.append(len(members))
                 sets.append(xxhash.xxh3_128_hexdigest(members.tobytes()))
                 left.append(hashes[:COLLECTION])
                 right.append(hashes[COLLECTION:])
-                sketches.append(sketch)
             longs = pa.list_(pa.int64())
             columns = [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.string())]
-            columns += [pa.array(left, longs), pa.array(right, longs), pa.array(sketches, pa.list_(pa.int8()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_hash", "left", "right", "sketch"])
+            columns += [pa.array(left, longs), pa.array(right, longs)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_hash", "left", "right"])
 
     return docs.select("doc_id", whole(F.col("text")).alias("text")).mapInArrow(run, SIGNATURE)
 
@@ -141,6 +138,74 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int = SHINGLE) -> DataF
     return pairs.select("a", "b").join(first, "a").join(second, "b").mapInArrow(run, "a long, b long, both long, either long")
 
 
+def _ties(strays: tuple, members: tuple, percent: int) -> Iterator[tuple[int, int]]:
+    """Links (stray, member) that tie all components between which the two runs have any link.
+
+    A run is (ids, components, sets). A component that a link has tied to another takes its name, so what follows from
+    earlier links is not told again.
+    """
+    ids, places, sets = members
+    named, place = np.unique(np.concatenate([strays[1], places]), return_inverse=True)
+    mine, theirs = place[: len(strays[1])], place[len(strays[1]) :]
+    sizes = np.array([len(one) for one in sets])
+    known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    for at, (stray, own) in enumerate(zip(strays[0], strays[2])):
+        held = np.zeros(len(known), bool)
+        found = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        held[found[known[found] == own]] = True
+        both = np.add.reduceat(held[codes], starts, dtype=np.int64)
+        near = np.flatnonzero((both * 100 >= (len(own) + sizes - both) * percent) & (theirs != mine[at]))
+        others, first = np.unique(theirs[near], return_index=True)
+        yield from ((stray, ids[one]) for one in near[first])
+        for run in (mine, theirs):
+            run[np.isin(run, others)] = mine[at]
+
+
+def ties(members: DataFrame, texts: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """a, b: links on the full sets between members (lead, lead_in, rep, rep_in) of one leader, as many as tie all
+    components that such links join; one of the two is a stray, in another component than the leader.
+
+    Strays and members of a leader are dealt by a hash of the ids to runs of about ``RUN`` bytes of texts, so a task
+    holds no more than a few runs, whatever a leader's members are.
+    """
+    sizes = texts.groupBy(F.col("doc_id").alias("rep")).agg(F.sum(F.octet_length("text")).alias("size"))
+    stray = F.col("lead_in") != F.col("rep_in")
+    sized = members.join(sizes, "rep").select("lead", "rep", "rep_in", stray.alias("stray"), "size")
+    asked = F.when(F.col("stray"), F.col("size")).otherwise(0)
+    facts = with_facts(sized, ["lead"], ["rep"], offered=("sum", F.col("size")), asking=("sum", asked))
+    runs, parts = (F.floor(F.col(name) / RUN) + 1 for name in ("offered", "asking"))
+    at = F.xxhash64("rep")
+    dealt = settled(facts.select("lead", "rep", "rep_in", "stray", runs.alias("runs"), F.pmod(at, runs).alias("run"), F.pmod(at, parts).alias("part")))
+
+    def packed_runs(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+        told = rows.join(texts.withColumnRenamed("doc_id", "rep"), "rep").repartition("lead", "run")
+        return told.groupBy(*keys).agg(F.collect_list(F.struct("rep", "rep_in", "text")).alias(name))
+
+    every = F.sequence(F.lit(0).cast("long"), F.col("runs") - 1)
+    asking = dealt.where("stray").select("lead", "rep", "rep_in", "part", F.explode(every).alias("run"))
+    asking = packed_runs(asking, ["lead", "run", "part"], "strays")
+    met = asking.join(packed_runs(dealt, ["lead", "run"], "members"), ["lead", "run"])
+
+    def read(entries: pa.StructArray) -> tuple:
+        sets = [shingles(text, words) for text in entries.field("text").to_pylist()]
+        kept = [at for at, one in enumerate(sets) if len(one)]
+        ids, places = (entries.field(name).to_numpy(zero_copy_only=False)[kept] for name in ("rep", "rep_in"))
+        return ids, places, [sets[at] for at in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for one, other in zip(batch.column("strays"), batch.column("members")):
+                pair = read(one.values), read(other.values)
+                if all(len(ids) for ids, *_ in pair):
+                    found += _ties(*pair, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([link[side] for link in found], pa.int64()) for side in (0, 1)], names=["a", "b"])
+
+    with small_batches(texts.sparkSession, RUNS_AT_ONCE):
+        return settled(met.select("strays", "members").mapInArrow(run, "a long, b long"))
+
+
 def table_rows(classes: DataFrame) -> DataFrame:
     """key and rep: one row per pair of a left and a right band hash."""
     lefts = classes.select("rep", "right", F.posexplode("left").alias("i", "first"))
@@ -160,7 +225,7 @@ def united(classes: DataFrame, docs: DataFrame, words: int = SHINGLE, percent: i
 
     def judged(pairs: DataFrame) -> DataFrame:
         found = confirmed(pairs.select("a", "b"), texts, words).groupBy("a", "b")
-        return settled(found.agg(F.max(near).alias("near"), F.min(1 - F.col("both") / F.col("either")).alias("away")))
+        return settled(found.agg(F.max(near).alias("near")))
 
     def placed(tied: DataFrame) -> DataFrame:
         """``members`` with the component of either side."""
@@ -176,46 +241,16 @@ def united(classes: DataFrame, docs: DataFrame, words: int = SHINGLE, percent: i
     lifted = parent.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
     apart = placed(lifted).where("lead_in <> rep_in").select(F.col("lead").alias("a"), F.col("rep").alias("b"))
     second = judged(apart.join(first, ["a", "b"], "left_anti"))
-    told = first.unionByName(second)
-    edges = told.where("near").select("a", "b")
-    away = told.select(F.col("a").alias("lead"), F.col("b").alias("rep"), "away")
-    facts = classes.groupBy("rep").agg(F.max("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
-
-    def contested(tied: DataFrame) -> DataFrame:
-        """Members of the leaders that have a member of another component, and what is known of them."""
-        known = placed(tied)
-        leads = known.where("lead_in <> rep_in").select("lead").distinct()
-        return settled(known.join(leads, "lead", "left_semi").join(away, ["lead", "rep"], "left").join(facts, "rep"))
-
-    def unlike(strays: DataFrame, others: DataFrame, least_alike: int) -> DataFrame:
-        """a, b: strays and members of their leader that may be near each other and are not in one component."""
-        stray = strays.select("lead", *(F.col(name).alias(f"{name}_a") for name in ("rep", "rep_in", "away", "size", "sketch")))
-        reach = 1 - percent / 100 + 1e-9
-        alike = F.size(F.filter(F.zip_with("sketch_a", "sketch", lambda one, other: one == other), lambda same: same))
-        met = stray.join(others, "lead").where(
-            (F.col("rep_in_a") != F.col("rep_in"))
-            & ((F.col("lead_in") == F.col("rep_in")) | (F.col("rep_a") < F.col("rep")))
-            & F.coalesce(F.abs(F.col("away_a") - F.col("away")) <= reach, F.lit(True))
-            & (F.least("size_a", "size") * 100 >= F.greatest("size_a", "size") * percent)
-            & (alike >= least_alike)
-        )
-        return met.select(F.least("rep_a", "rep").alias("a"), F.greatest("rep_a", "rep").alias("b")).distinct()
-
-    # The likeliest partners under one leader tie most strays; what is left is compared under all its leaders.
-    tied = settled(components(edges))
-    for least_alike in (LIKELY_ALIKE, LEAST_ALIKE):
-        others = contested(tied)
-        strays = others.where("lead_in <> rep_in")
-        if strays.isEmpty():
-            break
-        if least_alike == LIKELY_ALIKE:
-            chosen = strays.groupBy("rep").agg(F.min("lead").alias("lead"))
-            strays = strays.join(chosen, ["lead", "rep"], "left_semi")
-        links = judged(unlike(strays, others, least_alike)).where("near").select("a", "b")
-        if not links.isEmpty():  # they are added to the finished components
-            known = tied.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            tied = settled(components(known.unionByName(links)))
-    return tied
+    tied = settled(components(first.unionByName(second).where("near").select("a", "b")))
+    known = placed(tied)
+    leads = known.where("lead_in <> rep_in").select("lead").distinct()
+    contested = settled(known.join(leads, "lead", "left_semi"))
+    if contested.isEmpty():
+        return tied
+    links = ties(contested, texts, words, percent)
+    # They are added to the finished components.
+    above = tied.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return settled(components(above.unionByName(links)))
 
 
 def dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -224,7 +259,7 @@ def dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> Data
         signed = settled(signatures(docs, words))
         linked = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         classed = settled(with_facts(linked, ["set_hash"], ["doc_id"], rep=("min", F.col("doc_id"))))
-        classes = classed.where(f"doc_id = rep AND n_shingles >= {LEAST_SET}").select("rep", "n_shingles", "left", "right", "sketch")
+        classes = classed.where(f"doc_id = rep AND n_shingles >= {LEAST_SET}").select("rep", "left", "right")
         tied = united(classes, docs, words, percent)
     # A document that repeats its id with other texts has several classes: all of them are one component.
     same = classed.select("doc_id", "rep").distinct()

@@ -239,6 +239,31 @@ def test_near_copies_in_chains_and_short_texts(spark):
     assert {row["doc_id"]: tuple(row)[1:] for row in found} == brute_near(rows)
 
 
+def test_strays_of_a_drifting_group_make_no_rows_of_pairs(spark, monkeypatch):
+    source = random.Random(5)
+    base = [f"w{n}" for n in range(300)]
+    rows = [(0, " ".join(base))]
+    for number in range(1, 301):
+        text = list(base)
+        for _ in range(19 if number % 10 else 9):
+            text[source.randrange(300)] = f"v{number}x{source.random()}"
+        rows.append((number, " ".join(text)))
+        if number % 25 == 0:  # a stray's own near copy
+            text[source.randrange(300)] = f"u{number}"
+            rows.append((1000 + number, " ".join(text)))
+    asked, before = [], neardup.confirmed
+
+    def confirmed(pairs, *rest):
+        asked.append(pairs.count())
+        return before(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "confirmed", confirmed)
+    monkeypatch.setattr(neardup, "RUN", 100_000, raising=False)  # so that runs meet runs
+    found = neardup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {row["doc_id"]: tuple(row)[1:] for row in found} == brute_near(rows)
+    assert sum(asked) < 40 * len(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(n, n + 1) for n in range(200)] + [(1000, n) for n in range(1001, 1200)] + [(5000, 5001), (7, 7)]
     found = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
