@@ -246,8 +246,13 @@ def _best_sets(vectors: DataFrame, wanted: int) -> DataFrame:
     return scored.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted).drop("_place")
 
 
-def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10) -> DataFrame:
-    """(item, other, score, rk): for every item the ``count`` most similar others, exact, ties to the lower id.
+def similar_lists(
+    items: DataFrame, item: str, tags: str = "tags", count: int = 10, facts: DataFrame | None = None
+) -> DataFrame:
+    """(item, best): for every item its ``count`` most similar others as (other, score, ...), exact, ties to the lower id.
+
+    The further columns of ``facts``, a frame with one row per item, are added to the others while they are still one list
+    per tag set.
 
     Works on distinct tag sets, with any number of tags. Sets are numbered by their lowest item, and tokens are numbered
     too, so runs of sets are plain arrays; every run is scored against every other (:func:`_best_sets`). The
@@ -268,11 +273,20 @@ def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10
     members = _first_members(keyed, item, wanted).withColumnRenamed(item, "other_item").join(names.withColumnRenamed("number", "other"), "tag_key").drop("tag_key")
     best = Window.partitionBy("number").orderBy(F.desc("score"), "other_item")
     kept = best_sets.join(members, "other").withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted)
-    entry = F.struct("_place", F.col("other_item").alias("other"), "score")
-    lists = kept.groupBy("number").agg(F.array_sort(F.collect_list(entry)).alias("best"))
+    named = [] if facts is None else [name for name in facts.columns if name != item]
+    if facts is not None:
+        kept = kept.join(facts.withColumnRenamed(item, "other_item"), "other_item", "left")
+    entry = F.struct("_place", F.col("other_item").alias("other"), "score", *named)
+    lists = kept.groupBy("number").agg(F.sort_array(F.collect_list(entry)).alias("best"))
 
     rows = _to_items(keyed, sets, lists.join(names, "number").select("tag_key", "best"), item)
     others = F.slice(F.filter("best", lambda entry: entry["other"] != F.col(item)), 1, count)
-    return rows.select(item, F.posexplode(others).alias("_at", "_best")).select(
+    return rows.select(item, others.alias("best"))
+
+
+def similar_top(items: DataFrame, item: str, tags: str = "tags", count: int = 10) -> DataFrame:
+    """(item, other, score, rk): the lists of :func:`similar_lists`, one row per item and other."""
+    lists = similar_lists(items, item, tags, count)
+    return lists.select(item, F.posexplode("best").alias("_at", "_best")).select(
         item, F.col("_best.other").alias("other"), F.col("_best.score").alias("score"), (F.col("_at") + 1).alias("rk")
     )

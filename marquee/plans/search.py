@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import MISSING, or_missing
-from ..operators.lists import PAGE, joined_names, paged, sorted_list
+from ..operators.lists import PAGE, joined_names, paged_lists
 from ..operators.numbering import number_rows
 
 # A keyword needs two ASCII letters or digits, and the two error messages.
@@ -67,21 +67,19 @@ def found_movies(model: dict[str, DataFrame], field: str, keyword: str, ignore_a
 def name_lists(model: dict[str, DataFrame], movies: DataFrame | None = None, limit: int = PAGE) -> DataFrame:
     """(movie_id, page, directors, actors, genres) of the given movies, or of all.
 
-    The three bridges are paged and grouped as one. They meet the names on (list, key): the names are
-    broadcast when they measure small, and a name of very many movies is split as a skewed partition.
+    Each bridge meets its names: they are broadcast when they are small, and a name of very many movies is
+    split as a skewed partition. The three are paged and grouped as one.
     """
-    entries = names = None
+    entries = links = None
     for field, dim, bridge, key, name in LISTS:
         mine = model[bridge] if movies is None else model[bridge].join(movies.select("movie_id"), "movie_id", "left_semi")
-        mine = mine.select("movie_id", F.lit(field).alias("list"), F.col(key).alias("key"))
-        entries = mine if entries is None else entries.unionByName(mine)
-        known = model[dim].select(F.lit(field).alias("list"), F.col(key).alias("key"), F.col(name).alias("name"))
-        names = known if names is None else names.unionByName(known)
-    order = ["low", "name", "key"]
-    named = entries.join(names, ["list", "key"]).withColumn("low", F.lower("name"))
-    return paged(named, ["movie_id", "list"], order, limit).groupBy("movie_id", "page").agg(
-        *[sorted_list(order, F.when(F.col("list") == field, F.col("name"))).alias(f"{field}s") for field, *_ in LISTS]
-    )
+        named = mine.select("movie_id", key).join(model[dim].select(key, F.col(name).alias("name")), key)
+        named = named.select("movie_id", F.lit(field).alias("list"), F.col(key).alias("key"), "name")
+        entries = named if entries is None else entries.unionByName(named)
+        links = mine.select("movie_id") if links is None else links.unionByName(mine.select("movie_id"))
+    lists = {f"{field}s": (F.col("list") == field, F.col("name")) for field, *_ in LISTS}
+    entries = entries.withColumn("low", F.lower("name"))
+    return paged_lists(entries, "movie_id", ["low", "name", "key"], lists, ["list"], limit, counted=links)
 
 
 def with_names(movies: DataFrame, lists: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marquee.operators import checks, lists, matching, numbering, similar
 from marquee.operators.skew import hot_keys, skew_join
 from marquee.operators.stats import item_sentiment, review_statistics, score_distribution, table_counts
+from marquee.plans import search
 
 
 def rows_of(df):
@@ -161,6 +162,43 @@ def test_names_per_item(spark):
     assert rows_of(paged) == [(1, 0, "Ann"), (1, 1, "bob"), (2, 0, "Cid"), (3, 0, "N/A")]
 
 
+@pytest.mark.parametrize("large", [lists.LARGE, 8])
+def test_lists_of_large_items_equal_those_of_others(spark, monkeypatch, large):
+    monkeypatch.setattr(lists, "LARGE", large)
+    rows = [(1, "a", k, f"n{k * 7 % 25:02d}") for k in range(25)] + [(1, "b", k, f"m{k}") for k in range(4)]
+    rows += [(2, "b", 1, "z"), (2, "b", 2, None), (3, "b", 1, None), (None, "a", 1, "lost")]
+    entries = spark.createDataFrame(rows, "item long, kind string, key long, name string").repartition(4)
+    wanted = {f"{kind}s": (F.col("kind") == kind, F.col("name")) for kind in ("a", "b")}
+    paged = lists.paged_lists(entries, "item", ["name", "key"], wanted, ["kind"], 10)
+    names = [f"n{at:02d}" for at in range(25)]
+    assert sorted(tuple(row) for row in paged.collect()) == [
+        (1, 0, names[:10], ["m0", "m1", "m2", "m3"]),
+        (1, 1, names[10:20], []),
+        (1, 2, names[20:], []),
+        (2, 0, [], ["z"]),
+        (3, 0, [], []),
+    ]
+
+
+def test_lists_need_no_rank_of_every_row(spark):
+    movies = spark.createDataFrame([(1, 2), (1, 1)], "movie_id long, key long")
+    dim = spark.createDataFrame([(1, "Ann"), (2, "bob")], "key long, name string")
+    model = {}
+    for _, table, bridge, key, name in search.LISTS:
+        model[table], model[bridge] = dim.toDF(key, name), movies.toDF("movie_id", key)
+    names = search.name_lists(model)
+    assert rows_of(names) == [(1, 0, ["Ann", "bob"], ["Ann", "bob"], ["Ann", "bob"])]
+    assert "Window" not in names._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_similar_lists_bring_facts(spark):
+    items = spark.createDataFrame([(1, ["red", "fox"]), (2, ["red"]), (3, ["blue"])], "id long, tags array<string>")
+    facts = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "id long, title string")
+    found = {row["id"]: row["best"] for row in similar.similar_lists(items, "id", facts=facts).collect()}
+    assert [(other["other"], other["title"]) for other in found[1]] == [(2, "two")]
+    assert [(other["other"], other["title"]) for other in found[2]] == [(1, "one")]
+
+
 def test_checks_find_violations(spark):
     child = spark.createDataFrame([(1, "ab"), (1, "abc"), (2, "x"), (None, "y")], "k long, t string")
     parent = spark.createDataFrame([(1,)], "k long")

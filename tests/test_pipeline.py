@@ -3,6 +3,7 @@ from __future__ import annotations
 import csv
 import datetime
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -14,6 +15,9 @@ from marquee.plans.model import build_model, model_summary
 from marquee.plans.reviews import clean_reviews, distinct_values, of_type
 from marquee.schemas import CLEANED, TABLES
 from marquee.sources import readers, writers
+from marquee.workload.tables import Given, GivenModel
+
+GIVEN = "/root/testdata/sf0.001"
 
 
 def info(id, title, date, starring=(), director=(), genres=(), links=(), **more):
@@ -310,6 +314,14 @@ def test_detail_documents(model):
     assert (found[3]["similar"], found[3]["genres"]) == (None, "N/A")
 
 
+@pytest.mark.skipif(not os.path.isdir(GIVEN), reason=f"{GIVEN} is not there")
+def test_polarity_is_not_worked_out_in_filters(spark):
+    entries = detail.review_entries(GivenModel(Given(spark, GIVEN)))
+    plan = entries._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan
+    assert not [line for line in plan.splitlines() if "Filter " in line and "regexp_extract_all" in line]
+
+
 def test_detail_of_one_movie_equals_its_document_among_all(model):
     every = {(row["movie_id"], row["page"]): row for row in detail.detail(model).collect()}
     for movie in (1, 3, 4):
