@@ -30,7 +30,8 @@ WINDOW = 10
 SEED = 5
 BLOCK_BYTES = 32 << 20
 ROW_BYTES = 64  # of a broadcast row besides its window's text
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Written as what a word holds: written as what it does not hold, it took 4 to 10 times as long with 8 tasks in one JVM.
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def lowered(text: Column) -> Column:
