@@ -7,10 +7,12 @@ are decimals: sums come out the same in any order, and equal scores compare as e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_stop_words, fold_tags
@@ -23,8 +25,12 @@ TOKEN = r"(?U)\b\w\w+\b"
 WEIGHT = "decimal(16,7)"
 PRODUCT = "decimal(38,14)"
 UNIT = 10**7  # of a weight as a whole number
-ASKING, OFFERED = 1024, 16_384  # tag sets of a run, fewer when they have more than so many tokens each:
+ASKING, OFFERED = 16_384, 32_768  # tag sets of a run, fewer when they have more than so many tokens each:
 PACK_TOKENS = 64
+LEAST_RUNS = 48  # asking runs, when there are sets enough
+CHUNK = 128  # asking sets that are scored at a time
+HEAVY, HEAVY_SHARE = 32, 16  # tokens kept as a table: so many, each in more than one of so many items
+PACK = ("numbers", "roots", "table", "tokens", "places", "weights")
 
 
 def tag_tokens(tags: Column, stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS) -> Column:
@@ -63,10 +69,32 @@ def _set_tokens(sets: DataFrame) -> DataFrame:
     return sets.where(F.col("tag_key") != "").select("tag_key", "members", F.inline(counted))
 
 
+def _numbered_tokens(numbered: DataFrame) -> DataFrame:
+    """(number, word, tf), one row per distinct token of each tag set; the tokens of a set are in order, so equal ones are a run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = pc.split_pattern(batch.column("tag_key"), " ")
+            words, sizes = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False)
+            new = np.ones(len(words), bool)
+            new[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+            new[np.cumsum(sizes) - sizes] = True
+            at = np.flatnonzero(new)
+            numbers = np.repeat(batch.column("number").to_numpy(), sizes)[at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers), words.take(pa.array(at)), pa.array(np.diff(at, append=len(words)).astype(np.int32))], names=["number", "word", "tf"]
+            )
+
+    return numbered.select("number", "tag_key").mapInArrow(run, "number long, word string, tf int")
+
+
 def idf(sets: DataFrame) -> DataFrame:
     """(token, df, idf): items holding the token and ln((1 + n) / (1 + df)) + 1 over all n items."""
     total = sets.agg(F.sum("members")).scalar()
-    counts = _set_tokens(sets).groupBy("token").agg(F.sum("members").alias("df"))
+    tokens = sets.where(F.col("tag_key") != "").select("members", F.explode(F.array_distinct(F.split("tag_key", " "))).alias("token"))
+    counts = tokens.groupBy("token").agg(F.sum("members").alias("df"))
     return counts.withColumn("idf", (F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1).cast(WEIGHT))
 
 
@@ -167,83 +195,226 @@ def _numbered_sets(keyed: DataFrame, item: str) -> DataFrame:
     return number_rows(sets, "number", ["first"], start=0)
 
 
-def _packs(entries: DataFrame, size: int, parts: int) -> DataFrame:
-    """One row per run of ``size`` set numbers: the (number, token, weight, root) entries of its sets as arrays, a partition each."""
-    packed = entries.groupBy(F.floor(F.col("number") / size).alias("pack")).agg(
-        *(F.collect_list(name).alias(f"{name}s") for name in ("number", "token", "weight", "root"))
+@contextmanager
+def _row_by_row(spark: SparkSession) -> Iterator[None]:
+    """Steps settled inside hand Python one row at a time, and cross joins read both sides in place."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _packed(pieces: list[pa.RecordBatch], heavy: np.ndarray) -> pa.RecordBatch:
+    """One row with all sets of a run: numbers, roots, the weights of ``heavy`` tokens as a table, the others by token."""
+    rows = pa.Table.from_batches(pieces).combine_chunks()
+    columns = {name: rows.column(name).chunk(0) for name in ("number", "root", "tokens", "weights")}
+    tokens, weights = (columns[name].flatten().to_numpy(zero_copy_only=False) for name in ("tokens", "weights"))
+    places = np.repeat(np.arange(len(rows), dtype=np.int32), columns["tokens"].value_lengths().to_numpy(zero_copy_only=False))
+    table = np.zeros((len(rows), len(heavy)), np.int64)
+    common = np.isin(tokens, heavy)
+    table[places[common], np.searchsorted(heavy, tokens[common])] = weights[common]
+    order = np.flatnonzero(~common)
+    order = order[np.argsort(tokens[order], kind="stable")]
+    parts = (columns["number"].to_numpy(), columns["root"].to_numpy(), table, tokens[order], places[order], weights[order])
+    return pa.RecordBatch.from_arrays(
+        [rows.column("pack").chunk(0)[:1], *(pa.array([part.tobytes()], pa.binary()) for part in parts)], names=["pack", *PACK]
     )
-    return materialise(packed.repartitionByRange(parts, "pack"))
 
 
-def _closest(asking: tuple, offered: tuple, wanted: int, wide: bool) -> Iterator[tuple]:
-    """(number, others, scores) of each asking set: its ``wanted`` best offered sets, ties to the lower number.
+def _packs(vectors: DataFrame, pack: Column, parts: int, heavy: np.ndarray) -> DataFrame:
+    """One row per run of sets (:func:`_packed`), about a partition each, in the order of the runs."""
+    rows = vectors.select(pack.alias("pack"), "number", "root", "tokens", "weights")
 
-    Dot products are added up as whole numbers, so equal scores are equal: 64 bits hold them unless ``wide``.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: list[pa.RecordBatch] = []
+        for batch in batches:
+            packs = batch.column("pack").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(packs)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                if pieces and end > start and pieces[0].column("pack")[0].as_py() != packs[start]:
+                    yield _packed(pieces, heavy)
+                    pieces = []
+                if end > start:
+                    pieces.append(batch.slice(start, end - start))
+        if pieces:
+            yield _packed(pieces, heavy)
+
+    ordered = rows.repartitionByRange(parts, "pack").sortWithinPartitions("pack")
+    return materialise(ordered.mapInArrow(run, ", ".join(["pack long", *(f"{name} binary" for name in PACK)])))
+
+
+class _Run:
+    """A run of tag sets, and as the asking one its best sets so far: ``scores`` and ``others``, ``wanted`` per set."""
+
+    def __init__(self, parts: list[bytes], many: int, wanted: int = 0) -> None:
+        read = lambda at, kind: np.frombuffer(parts[at], kind)
+        self.numbers, self.roots = read(0, np.int64), read(1, np.float64)
+        self.table = read(2, np.int64).reshape(len(self.numbers), many)
+        self.tokens, self.places, self.weights = read(3, np.int64), read(4, np.int32).astype(np.intp), read(5, np.int64)
+        self.scaled_table = (self.table / (UNIT * self.roots[:, None])).astype(np.float32)
+        self.reach = np.sqrt((self.scaled_table.astype(np.float64) ** 2).sum(1))
+        if wanted:
+            order = np.argsort(self.places, kind="stable")
+            self.tokens, self.places, self.weights = self.tokens[order], self.places[order], self.weights[order]
+            self.counts = np.bincount(self.places, minlength=len(self.numbers))
+            self.starts = np.cumsum(self.counts) - self.counts
+            self.scores, self.others = np.zeros((len(self.numbers), wanted)), np.full((len(self.numbers), wanted), -1, np.int64)
+            # Sums of single floats are this near, as all terms are positive.
+            self.slack = (self.counts + many + 16) * 2.0**-22
+        else:
+            first = np.flatnonzero(np.diff(self.tokens, prepend=-1))
+            self.known, self.starts = self.tokens[first], first
+            self.counts = np.diff(first, append=len(self.tokens))
+        self.scaled = (self.weights / (UNIT * self.roots[self.places])).astype(np.float32)
+
+
+def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each count, one after another."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _ranks(groups: np.ndarray) -> np.ndarray:
+    """Place of each row in its group, for sorted groups."""
+    first = np.flatnonzero(np.diff(groups, prepend=-1))
+    return np.arange(len(groups)) - np.repeat(first, np.diff(first, append=len(groups)))
+
+
+def _meet(asking: _Run, offered: _Run, wide: bool, sums: np.ndarray) -> None:
+    """Takes the best sets of ``offered`` over into ``asking``; ``sums`` is a buffer of zeros and stays one.
+
+    Pairs with a common token that is not heavy are found by postings. A pair with heavy ones alone is at most as near as the
+    lengths of the heavy parts, and such pairs are looked at for the sets only that this could bring something.
     """
+    if not len(offered.numbers):
+        return
+    least = asking.scores[:, -1] * (1 - asking.slack)
+    reach = asking.reach * offered.reach.max() * (1 + 1e-5)
+    every = (reach > 0) & (reach >= least)
+    at = np.searchsorted(offered.known, asking.tokens)
+    at[at == len(offered.known)] = 0
+    met = offered.known[at] == asking.tokens if len(offered.known) else np.zeros(len(at), bool)
+    counts = np.where(met, offered.counts[at] if len(offered.known) else 0, 0)
+    starts = offered.starts[at] if len(offered.known) else at
+    for whole in (True, False):
+        sets = np.flatnonzero(every == whole)
+        for start in range(0, len(sets), CHUNK):
+            _meet_sets(asking, offered, sets[start : start + CHUNK], whole, starts, counts, least, wide, sums)
+
+
+def _meet_sets(asking: _Run, offered: _Run, sets: np.ndarray, whole: bool, starts: np.ndarray, counts: np.ndarray, least: np.ndarray, wide: bool, sums: np.ndarray) -> None:
+    width, wanted = len(offered.numbers), asking.scores.shape[1]
+    entries = _spans(asking.starts[sets], asking.counts[sets])
+    owner = np.repeat(np.arange(len(sets)), asking.counts[sets])
+    each = counts[entries]
+    rows = _spans(starts[entries], each)
+    if not whole and not len(rows):
+        return
+    cells = np.repeat(owner * width, each) + offered.places[rows]
+    products = offered.scaled[rows] * np.repeat(asking.scaled[entries], each)
+    floor = least[sets]
+    if whole or len(rows) * 4 > len(sets) * width:
+        total = asking.scaled_table[sets] @ offered.scaled_table.T
+        np.add.at(total.reshape(-1), cells, products)
+        if width > 4 * wanted:
+            best = np.partition(total, width - wanted, 1)[:, width - wanted] if (floor <= 0).any() else floor
+            floor = np.maximum(floor, best * (1 - 2 * asking.slack[sets]))
+        near = (total >= floor[:, None]) & (total > 0)
+        found = np.flatnonzero(near)
+        taken = np.flatnonzero(near.reshape(-1)[cells])
+    else:
+        np.add.at(sums, cells, products)
+        lacking = floor - asking.reach[sets] * (offered.reach.max() * (1 + 1e-5))
+        summed = sums[cells]
+        sums[cells] = 0
+        taken = np.flatnonzero(summed >= np.repeat(lacking[owner], each))
+        bound = asking.reach[sets][cells[taken] // width] * offered.reach[cells[taken] % width] * (1 + 1e-5)
+        taken = taken[summed[taken] + bound >= floor[cells[taken] // width]]
+        found = np.unique(cells[taken])
+    if not len(found):
+        return
     kind = object if wide else np.int64
-    numbers, tokens, weights, roots = offered
-    others, place = np.unique(numbers, return_inverse=True)
-    other_roots = np.empty(len(others))
-    other_roots[place] = roots
-    order = np.argsort(tokens, kind="stable")
-    place, weights = place[order], weights[order].astype(kind)
-    known, starts = np.unique(tokens[order], return_index=True)
-    postings = dict(zip(known.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(order)])))
-
-    numbers, tokens, weights_, roots = asking
-    order = np.argsort(numbers, kind="stable")
-    mine, starts = np.unique(numbers[order], return_index=True)
-    for number, rows in zip(mine.tolist(), np.split(order, starts[1:])):
-        dot = np.zeros(len(others), kind)
-        for token, weight in zip(tokens[rows].tolist(), weights_[rows].tolist()):
-            start, end = postings.get(token, (0, 0))
-            dot[place[start:end]] += weights[start:end] * weight
-        about = dot.astype(float) / other_roots
-        least = np.partition(about, -wanted)[-wanted] * (1 - 1e-12) if len(about) > wanted else 0.0
-        near = np.flatnonzero((about >= least) & (about > 0))
-        # As the decimal is cast to a double: the quotient of whole numbers is rounded once.
-        values, at = np.unique(dot[near], return_inverse=True)
-        exact = np.array([int(value) / UNIT**2 for value in values.tolist()])
-        scores = exact[at] / (roots[rows[0]] * other_roots[near])
-        best = np.lexsort((near, -scores))[:wanted]
-        yield number, others[near[best]], scores[best]
-
-
-def _best_sets(vectors: DataFrame, wanted: int) -> DataFrame:
+    mine, theirs = found // width, found % width
+    dot = (asking.table[sets[mine]].astype(kind) * offered.table[theirs].astype(kind)).sum(1) if asking.table.shape[1] else np.zeros(len(found), kind)
+    entry = entries[np.searchsorted(np.cumsum(each), taken, side="right")]
+    np.add.at(dot, np.searchsorted(found, cells[taken]), offered.weights[rows[taken]].astype(kind) * asking.weights[entry].astype(kind))
+    # Few are near enough to be worked out exactly.
+    lengths = asking.roots[sets[mine]] * offered.roots[theirs]
+    about = dot.astype(float) / UNIT**2 / lengths
+    order = np.lexsort((-about, mine))
+    last = order[_ranks(mine[order]) == wanted - 1]
+    bar = asking.scores[sets, -1]
+    bar[mine[last]] = np.maximum(bar[mine[last]], about[last])
+    kept = np.flatnonzero((about >= bar[mine] * (1 - 1e-12)) & (about > 0))
+    mine, theirs = mine[kept], theirs[kept]
+    # As the decimal is cast to a double: the quotient of whole numbers is rounded once.
+    exact = np.array([int(value) / UNIT**2 for value in dot[kept].tolist()])
+    changed = np.unique(mine)
+    group = np.concatenate([mine, np.repeat(changed, wanted)])
+    score = np.concatenate([exact / lengths[kept], asking.scores[sets[changed]].reshape(-1)])
+    other = np.concatenate([offered.numbers[theirs], asking.others[sets[changed]].reshape(-1)])
+    order = np.lexsort((np.where(other < 0, np.iinfo(np.int64).max, other), -score, group))
+    rank = _ranks(group[order])
+    order, rank = order[rank < wanted], rank[rank < wanted]
+    asking.scores[sets[group[order]], rank] = score[order]
+    asking.others[sets[group[order]], rank] = other[order]
+
+
+def _best_sets(vectors: DataFrame, wanted: int, heavy: list[int]) -> DataFrame:
     """(number, other, score): the ``wanted`` best sets for every set, itself among them; ties go to the lower number.
 
-    Runs of sets meet in pairs, each pair in a task of its own: no pair of sets is ever a row, only the best of a
-    run are. The work is that of all pairs of sets with a common token, a multiplication each.
+    ``vectors`` has (number, tokens, weights, root), weights as whole numbers. A task holds a run of sets and reads all runs
+    of sets one after another, those with the longest part in ``heavy`` tokens first: no pair of sets is ever a row, only the
+    best of all runs are. The work is that of all pairs with a common token that is not heavy, a multiplication each, and
+    of the pairs with heavy tokens that :func:`_meet` cannot rule out.
     """
-    facts = vectors.agg(F.count("*"), F.sum(F.size("entries")), F.max("square").cast("double")).first()
+    spark, common = vectors.sparkSession, np.array(sorted(heavy), np.int64)
+    part = F.aggregate(
+        F.zip_with("tokens", "weights", lambda token, weight: F.when(token.isin(heavy), (weight / UNIT) * (weight / UNIT)).otherwise(0.0)), F.lit(0.0), lambda total, one: total + one
+    ) if heavy else F.lit(0.0)
+    facts = vectors.agg(F.count("*"), F.sum(F.size("tokens")), F.max("root")).first()
     sets, entries, longest = facts[0], facts[1] or 0, facts[2] or 0.0
-    wide = longest * UNIT**2 >= 2.0**62  # no dot product is larger than the longest square
-    rows = vectors.select("number", F.sqrt(F.col("square").cast("double")).alias("root"), F.inline("entries"))
-    rows = rows.select("number", "token", (F.col("weight") * UNIT).cast("long").alias("weight"), "root")
+    wide = longest**2 * UNIT**2 >= 2.0**62  # no dot product is larger than the longest square
+    placed = number_rows(vectors.withColumn("part", F.sqrt(part) / F.col("root")), "place", [F.desc("part"), F.col("number")], start=0)
 
-    def packs(limit: int) -> DataFrame:
-        size = max(1, min(limit, limit * PACK_TOKENS * sets // max(entries, 1)))
-        return _packs(rows, size, max(1, -(-sets // size)))
+    def size(limit: int) -> int:
+        return max(1, min(limit, limit * PACK_TOKENS * sets // max(entries, 1)))
 
-    asking, offered = packs(ASKING), packs(OFFERED)
-    columns = ("numbers", "tokens", "weights", "roots")
-    pairs = asking.select(*columns).crossJoin(offered.select(*(F.col(name).alias(f"other_{name}") for name in columns)))
+    few, many = min(size(ASKING), -(-sets // LEAST_RUNS) or 1), size(OFFERED)
+    first = max(1, many // 16)
+    asking = _packs(placed, F.floor(F.col("place") / few), -(-sets // few) or 1, common)
+    # The first runs are short: what they bring rules most of the others out.
+    later = F.floor((F.col("place") - 4 * first) / many) + 2
+    pack = F.when(F.col("place") < first, 0).when(F.col("place") < 4 * first, 1).otherwise(later).cast("long")
+    offered = _packs(placed, pack, -(-sets // many) + 2, common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: dict[int, _Run] = {}
+        sums = np.zeros(0, np.float32)
         for batch in batches:
             for row in range(batch.num_rows):
-                arrays = [column[row].values.to_numpy(zero_copy_only=False) for column in batch.columns]
-                found = list(_closest(tuple(arrays[:4]), tuple(arrays[4:]), wanted, wide))
-                counts = [len(others) for _, others, _ in found]
-                numbers = np.repeat(np.array([number for number, *_ in found], np.int64), counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers), pa.array(np.concatenate([others for _, others, _ in found])), pa.array(np.concatenate([scores for *_, scores in found]))],
-                    names=["number", "other", "score"],
-                )
-
-    best = Window.partitionBy("number").orderBy(F.desc("score"), "other")
-    scored = pairs.mapInArrow(run, "number long, other long, score double")
-    return scored.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted).drop("_place")
+                read = lambda start: [memoryview(batch.column(start + at)[row].as_buffer()) for at in range(len(PACK))]  # noqa: B023, E731
+                key = batch.column(0)[row].as_py()
+                if key not in runs:
+                    runs[key] = _Run(read(1), len(common), wanted)
+                other = _Run(read(2 + len(PACK)), len(common))
+                if len(sums) < CHUNK * len(other.numbers):
+                    sums = np.zeros(CHUNK * len(other.numbers), np.float32)
+                _meet(runs[key], other, wide, sums)
+        for found in runs.values():
+            at, place = np.nonzero(found.others >= 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.numbers[at]), pa.array(found.others[at, place]), pa.array(found.scores[at, place])], names=["number", "other", "score"]
+            )
+
+    theirs = offered.coalesce(1).select(*(F.col(name).alias(f"other_{name}") for name in ("pack", *PACK)))
+    pairs = theirs.crossJoin(asking).select("pack", *PACK, "other_pack", *(f"other_{name}" for name in PACK))
+    with _row_by_row(spark):
+        return materialise(pairs.mapInArrow(run, "number long, other long, score double"))
 
 
 def similar_lists(
@@ -256,21 +427,26 @@ def similar_lists(
 
     Works on distinct tag sets, with any number of tags. Sets are numbered by their lowest item, and tokens are numbered
     too, so runs of sets are plain arrays; every run is scored against every other (:func:`_best_sets`). The
-    items' keys and the vectors, one row per tag set, are settled once.
+    items' keys and the vectors, one row per tag set, are settled once; past them, only numbers of sets move, no tokens.
     """
     wanted = count + 1
     keyed = materialise(with_tag_key(items, tags).select(item, "tag_key"))
     sets = tag_sets(keyed)
     numbered = _numbered_sets(keyed, item)
-    vocabulary = number_rows(idf(sets).select(F.col("token").alias("word"), "idf"), "token", ["word"])
-    tokens = _set_tokens(numbered.select("tag_key", "members")).select("tag_key", F.col("token").alias("word"), "tf")
-    weighted = tokens.join(vocabulary, "word").select("tag_key", "token", (F.col("tf") * F.col("idf")).cast(WEIGHT).alias("weight"))
-    gathered = weighted.groupBy("tag_key").agg(F.collect_list(F.struct("token", "weight")).alias("entries"), _square().alias("square"))
-    vectors = materialise(gathered.join(numbered.select("tag_key", "number"), "tag_key").select("number", "entries", "square"))
-    best_sets = _best_sets(vectors, wanted)
+    vocabulary = number_rows(idf(sets).select(F.col("token").alias("word"), "df", "idf"), "token", ["word"])
+    often = vocabulary.where(F.col("df") > F.lit(keyed.count() / HEAVY_SHARE)).orderBy(F.desc("df"), "token").limit(HEAVY)
+    heavy = [row["token"] for row in often.select("token").collect()]
+    weighted = _numbered_tokens(numbered).join(vocabulary, "word").select("number", "token", (F.col("tf") * F.col("idf")).cast(WEIGHT).alias("weight"))
+    entry = F.struct("token", (F.col("weight") * UNIT).cast("long").alias("weight"))
+    gathered = weighted.groupBy("number").agg(F.collect_list(entry).alias("entries"), _square().alias("square"))
+    vectors = materialise(
+        gathered.select("number", F.col("entries.token").alias("tokens"), F.col("entries.weight").alias("weights"), F.sqrt(F.col("square").cast("double")).alias("root"))
+    )
+    best_sets = _best_sets(vectors, wanted, heavy)
     # Each of the best items is in one of the best sets, ordered by score and lowest item.
-    names = numbered.select("tag_key", "number")
-    members = _first_members(keyed, item, wanted).withColumnRenamed(item, "other_item").join(names.withColumnRenamed("number", "other"), "tag_key").drop("tag_key")
+    rows = materialise(_to_items(keyed, sets, numbered.select("tag_key", "number"), item).select(item, "number"))
+    place = F.row_number().over(Window.partitionBy("number").orderBy(item))
+    members = rows.withColumn("_place", place).where(F.col("_place") <= wanted).select(F.col(item).alias("other_item"), F.col("number").alias("other"))
     best = Window.partitionBy("number").orderBy(F.desc("score"), "other_item")
     kept = best_sets.join(members, "other").withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= wanted)
     named = [] if facts is None else [name for name in facts.columns if name != item]
@@ -279,7 +455,7 @@ def similar_lists(
     entry = F.struct("_place", F.col("other_item").alias("other"), "score", *named)
     lists = kept.groupBy("number").agg(F.sort_array(F.collect_list(entry)).alias("best"))
 
-    rows = _to_items(keyed, sets, lists.join(names, "number").select("tag_key", "best"), item)
+    rows = skew_join(rows, lists, ["number"], spread=[item], hot=hot_counts(numbered, ["number"], "members"))
     others = F.slice(F.filter("best", lambda entry: entry["other"] != F.col(item)), 1, count)
     return rows.select(item, others.alias("best"))
 

@@ -397,3 +397,41 @@ def test_tfidf_vectors_have_length_one(spark, tagged):
     lengths = similar.tfidf(df, "item").groupBy("item").agg(F.sum(F.col("weight") ** 2).alias("l")).collect()
     assert all(row["l"] == pytest.approx(1.0) for row in lengths)
     assert {row["item"] for row in lengths} == {i for i, tags in tagged if similar_tokens(tags)}
+
+
+def test_similar_top_rules_out_what_shares_a_common_token_only(spark):
+    """Most pairs share nothing but a token of all sets: few of them are scored, and the best are those of all pairs."""
+    rng = random.Random(8)
+    n = 3_000
+    items = [(at, ["all"] * rng.choice([1, 1, 1, 3]) + [f"t{rng.randrange(2_000):04}" for _ in range(rng.randint(1, 9))]) for at in range(n)]
+    df = spark.createDataFrame(items, "item long, tags array<string>")
+    top = similar.similar_top(df, "item", count=4).orderBy("item", "rk").collect()
+    found = defaultdict(list)
+    for row in top:
+        found[row["item"]].append((row["other"], row["score"]))
+    for item in (0, 1, 1_500, n - 1):
+        one = similar.similar_to(df, "item", F.col("item") == item, count=4).orderBy("rk").collect()
+        assert found[item] == [(row["other"], row["score"]) for row in one]
+
+
+def test_runs_leave_most_pairs_unscored(monkeypatch):
+    """A run of sets that share a common token with all others adds up the products of the other tokens, not those of all pairs."""
+    import numpy as np
+
+    rng, n, wanted = np.random.default_rng(4), 4_096, 6
+
+    def made(first):
+        tokens = np.sort(rng.integers(0, 40_000, n * 8))
+        places = rng.permutation(np.repeat(np.arange(n), 8)).astype(np.int32)
+        weights, table = np.full(n * 8, 9 * similar.UNIT), np.full((n, 1), 8 * similar.UNIT)
+        squares = np.bincount(places, minlength=n) * 81.0 + 64.0
+        return [part.tobytes() for part in (np.arange(first, first + n), np.sqrt(squares), table, tokens, places, weights)]
+
+    asking, sums = similar._Run(made(0), 1, wanted), np.zeros(similar.CHUNK * n, np.float32)
+    scored = []
+    real = similar._meet_sets
+    monkeypatch.setattr(similar, "_meet_sets", lambda *given: (scored.append(len(given[2]) if given[3] else 0), real(*given)))
+    for first in (n, 2 * n, 3 * n):
+        similar._meet(asking, similar._Run(made(first), 1), False, sums)
+    assert not sums.any() and (asking.others >= 0).all()
+    assert sum(scored) < 2 * n  # of three runs that each share the token with all sets of this one
